@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source project reads and writes in batch only (no readStream, watermark,
+stateful operator or streaming sink), so there is nothing to rebuild here. The
+batch questions are pure functions of their input DataFrames; should a stream
+ever be needed they can be applied per micro-batch with ``foreachBatch``.
+"""
