@@ -25,8 +25,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     offsets). The frame is persisted so the counting job is not repeated
     when the join runs; lost blocks are recomputed from lineage.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.count() <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()  # too big to broadcast: do not pin it; the join shuffles instead
+    return df
 
 
 def keys_equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool = False) -> Column:

@@ -69,7 +69,7 @@ def a2_german_movies_from_year(
     return out.select(
         movies["tconst"], akas["title"], akas["region"], akas["language"],
         movies["startYear"].alias("year"), movies["genres"],
-    ).orderBy("year")
+    ).orderBy("year", "tconst", "title")
 
 
 def a3_writers_with_avg_rating_from(cat: MovieCatalog, border_rating: float = 8.1, min_votes: int = 1000) -> DataFrame:
@@ -84,7 +84,7 @@ def a3_writers_with_avg_rating_from(cat: MovieCatalog, border_rating: float = 8.
     )
     joined = rated.join(writers.select("tconst", "writer"), "tconst")
     means = joined.groupBy("writer").agg(F.avg("averageRating").alias("avgWriterRating"))
-    return means.filter(F.col("avgWriterRating") >= border_rating).orderBy("avgWriterRating")
+    return means.filter(F.col("avgWriterRating") >= border_rating).orderBy("avgWriterRating", "writer")
 
 
 def a4_countries_longest_series(cat: MovieCatalog) -> DataFrame:
@@ -96,7 +96,7 @@ def a4_countries_longest_series(cat: MovieCatalog) -> DataFrame:
     akas = cat.title_akas.filter(F.col("region").isNotNull()).select("titleId", "region")
     joined = episodes.join(akas, episodes["tconst"] == akas["titleId"])
     return max_by_group(joined, ["region"], "episodeNumber", "maxEpisodeNumber").orderBy(
-        F.col("maxEpisodeNumber").desc()
+        F.col("maxEpisodeNumber").desc(), "region"
     )
 
 
@@ -105,7 +105,7 @@ def a5_episodes_with_rating_from(cat: MovieCatalog, border_rating: float = 8.1,
     ratings = cat.title_ratings.filter(
         (F.col("numVotes") >= min_votes) & (F.col("averageRating") >= float_literal(border_rating))
     )
-    out = episodes.join(ratings, "tconst").orderBy("averageRating")
+    out = episodes.join(ratings, "tconst").orderBy("averageRating", "tconst")
     return out.select(
         F.col("primaryTitle").alias("episodeTitle"), F.col("startYear").alias("releaseYear"),
         "genres", "averageRating", "numVotes",
@@ -117,7 +117,7 @@ def a6_titles_with_same_director_writer(cat: MovieCatalog) -> DataFrame:
     crew = cat.title_crew.filter(F.col("writers").isNotNull() & (F.col("directors") == F.col("writers")))
     authors = with_names(crew, cat.name_basics, "writers", "nconst", columns=["primaryName"],
                          rename={"primaryName": "authorName"})
-    out = cat.title_basics.join(authors, "tconst").orderBy("startYear")
+    out = cat.title_basics.join(authors, "tconst").orderBy("startYear", "tconst")
     return out.select(
         "tconst", F.col("primaryTitle").alias("title"), F.col("startYear").alias("releaseYear"),
         "genres", "directors", "writers", "authorName",
@@ -141,7 +141,9 @@ def i1_actor_film_counts(cat: MovieCatalog) -> DataFrame:
     roles = cat.title_principals.filter(F.col("category").isin(*ACTOR_WORDS))
     per_person = count_by(roles, ["nconst"], name="n", nonnull="tconst")
     named = per_person.join(_actors(cat).select("nconst", "primaryName"), "nconst")
-    return named.groupBy("primaryName").agg(F.sum("n").alias("film_count")).orderBy(F.col("film_count").desc())
+    return named.groupBy("primaryName").agg(F.sum("n").alias("film_count")).orderBy(
+        F.col("film_count").desc(), "primaryName"
+    )
 
 
 def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18) -> DataFrame:
@@ -154,9 +156,9 @@ def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18) -> DataFrame:
         "actor_age_on_shooting", (F.col("startYear") - F.col("birthYear")).cast("int")
     )
     out = out.filter((F.col("actor_age_on_shooting") < max_age) & (F.col("actor_age_on_shooting") >= 0))
-    return out.select(
+    return out.orderBy(F.col("actor_age_on_shooting").asc(), "tconst").select(
         "primaryName", "primaryTitle", "startYear", "actor_age_on_shooting", "primaryProfession"
-    ).orderBy(F.col("actor_age_on_shooting").asc())
+    )
 
 
 def i3_long_series(cat: MovieCatalog, min_episodes: int = 100) -> DataFrame:
@@ -166,7 +168,7 @@ def i3_long_series(cat: MovieCatalog, min_episodes: int = 100) -> DataFrame:
     )
     counts = count_by(episodes, ["parentTconst"], name="episode_count").filter(F.col("episode_count") > min_episodes)
     out = with_names(counts, cat.title_basics, "parentTconst", "tconst", how="left", columns=["primaryTitle"])
-    return out.select("primaryTitle", "episode_count").orderBy(F.col("episode_count").desc())
+    return out.orderBy(F.col("episode_count").desc(), "parentTconst").select("primaryTitle", "episode_count")
 
 
 def i4_old_living_actors(cat: MovieCatalog, current_year: int = 2025, min_age: int = 90) -> DataFrame:
@@ -175,9 +177,9 @@ def i4_old_living_actors(cat: MovieCatalog, current_year: int = 2025, min_age: i
         F.col("deathYear").isNull() & F.col("birthYear").isNotNull()
         & (F.col("birthYear") < current_year - min_age)
     )
-    return people.select(
-        "primaryName", (F.lit(current_year) - F.col("birthYear")).cast("int").alias("age"), "primaryProfession"
-    ).orderBy(F.col("age").desc())
+    return people.withColumn("age", (F.lit(current_year) - F.col("birthYear")).cast("int")).orderBy(
+        F.col("age").desc(), "nconst"
+    ).select("primaryName", "age", "primaryProfession")
 
 
 def i5_best_title_per_director(cat: MovieCatalog) -> DataFrame:
@@ -190,7 +192,7 @@ def i5_best_title_per_director(cat: MovieCatalog) -> DataFrame:
     )
     top = first_per_group(joined, ["nconst"], [F.col("averageRating").desc(), F.col("tconst").asc()])
     out = top.join(cat.name_basics.select("nconst", "primaryName"), "nconst")
-    return out.select("primaryName", "primaryTitle").orderBy("primaryName")
+    return out.orderBy("primaryName", "nconst").select("primaryName", "primaryTitle")
 
 
 def _rated_movies(cat: MovieCatalog, genre: str | None = None) -> DataFrame:
@@ -204,15 +206,15 @@ def _rated_movies(cat: MovieCatalog, genre: str | None = None) -> DataFrame:
 def i6_top_dramas_per_year(cat: MovieCatalog, genre: str = "Drama", n: int = 3) -> DataFrame:
     above = above_group_mean(_rated_movies(cat, genre), ["startYear"], "averageRating")
     top = top_n_per_group(above, ["startYear"], [F.col("averageRating").desc(), F.col("tconst").asc()], n)
-    return top.select("primaryTitle", "startYear", "averageRating").orderBy(
-        F.col("startYear").desc(), F.col("averageRating").desc()
+    return top.orderBy(F.col("startYear").desc(), F.col("averageRating").desc(), "tconst").select(
+        "primaryTitle", "startYear", "averageRating"
     )
 
 
 def i7_movies_above_year_mean(cat: MovieCatalog) -> DataFrame:
     above = above_group_mean(_rated_movies(cat), ["startYear"], "averageRating", mean_name="avg_year_rating")
-    return above.select("primaryTitle", "startYear", "averageRating", "avg_year_rating").orderBy(
-        F.col("averageRating").desc()
+    return above.orderBy(F.col("averageRating").desc(), "tconst").select(
+        "primaryTitle", "startYear", "averageRating", "avg_year_rating"
     )
 
 
@@ -270,7 +272,9 @@ def m5_akas_per_language(cat: MovieCatalog) -> DataFrame:
     akas = cat.title_akas.filter(
         F.col("title").isNotNull() & F.col("region").isNotNull() & F.col("language").isNotNull()
     )
-    return count_by(akas, ["language"], name="original_title_count").orderBy(F.col("original_title_count").desc())
+    return count_by(akas, ["language"], name="original_title_count").orderBy(
+        F.col("original_title_count").desc(), "language"
+    )
 
 
 def m6_popular_titles_of_year(cat: MovieCatalog, year: int = 2024, min_votes: int = 10000) -> DataFrame:
@@ -288,17 +292,21 @@ def s1_most_active_actors(cat: MovieCatalog, category: str = "actor") -> DataFra
     roles = exists_in(cat.title_principals.filter(F.col("category") == category), _movies(cat), "tconst")
     counts = count_by(roles, ["nconst"], name="film_count", distinct="tconst")
     out = counts.join(cat.name_basics.select("nconst", "primaryName"), "nconst", "left")
-    return out.select("primaryName", "film_count").orderBy(F.col("film_count").desc())
+    return out.orderBy(F.col("film_count").desc(), "nconst").select("primaryName", "film_count")
 
 
 def s2_genre_years(cat: MovieCatalog) -> DataFrame:
     genres = explode_list(_movies(cat).select("startYear", "genres"), "genres", "genre", keep=["startYear"])
-    return count_by(genres, ["startYear", "genre"]).orderBy(F.col("startYear").desc(), F.col("count").desc())
+    return count_by(genres, ["startYear", "genre"]).orderBy(
+        F.col("startYear").desc(), F.col("count").desc(), "genre"
+    )
 
 
 def s3_top_regions(cat: MovieCatalog) -> DataFrame:
     akas = cat.title_akas.filter(F.col("region").isNotNull())
-    return count_by(akas, ["region"], name="unique_titles", distinct="titleId").orderBy(F.col("unique_titles").desc())
+    return count_by(akas, ["region"], name="unique_titles", distinct="titleId").orderBy(
+        F.col("unique_titles").desc(), "region"
+    )
 
 
 def s4_top_series(cat: MovieCatalog, min_avg_votes: float = 1000) -> DataFrame:
@@ -309,7 +317,9 @@ def s4_top_series(cat: MovieCatalog, min_avg_votes: float = 1000) -> DataFrame:
         F.count(F.lit(1)).alias("episode_count"),
     ).filter(F.col("avg_votes") > min_avg_votes)
     out = stats.join(cat.title_basics.select("tconst", "primaryTitle"), stats["parentTconst"] == F.col("tconst"))
-    return out.select("primaryTitle", "avg_rating", "avg_votes", "episode_count").orderBy(F.col("avg_rating").desc())
+    return out.orderBy(F.col("avg_rating").desc(), "parentTconst").select(
+        "primaryTitle", "avg_rating", "avg_votes", "episode_count"
+    )
 
 
 def s5_top5_per_genre(cat: MovieCatalog, min_votes: int = 10000, n: int = 5) -> DataFrame:

@@ -93,7 +93,8 @@ def a2_standard_parts_shipped_from(
         (F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status) & year_at_least("l_shipdate", border_year)
     ).select("l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", year_of("l_shipdate").alias("ship_year"))
     out = parts.join(lines, parts["p_partkey"] == lines["l_partkey"])
-    return out.orderBy("ship_year").select(
+    # Ties on the (few-valued) year are broken by keys so the range sort stays balanced.
+    return out.orderBy("ship_year", "p_partkey", "l_orderkey", "l_linenumber").select(
         "p_partkey", "l_orderkey", "l_linenumber", "p_name", "l_returnflag", "l_linestatus", "ship_year"
     )
 
@@ -114,7 +115,7 @@ def a3_customers_with_mean_price_from(
     return (
         per_name.filter(F.col("cents") >= F.lit(border_cents) * F.col("n"))
         .select("c_name", mean_from("cents", "n").alias("avg_totalprice"))
-        .orderBy("avg_totalprice")
+        .orderBy("avg_totalprice", "c_name")
     )
 
 
@@ -137,7 +138,7 @@ def a4_max_linenumber_per_nation(spark: SparkSession, sf_dir: str, flag: str = R
         ["c_nationkey"], "m", "max_linenumber",
     )
     out = per_nation.join(_nation(t), F.col("c_nationkey") == F.col("n_nationkey"))
-    return out.select("n_name", "max_linenumber").orderBy(F.col("max_linenumber").desc())
+    return out.select("n_name", "max_linenumber").orderBy(F.col("max_linenumber").desc(), "n_name")
 
 
 def a5_finished_orders_priced_from(
@@ -147,7 +148,7 @@ def a5_finished_orders_priced_from(
     t = StarTables(spark, sf_dir)
     orders = t.orders.filter((F.col("o_orderstatus") == status) & (F.col("o_totalprice") >= border_price))
     out = with_names(orders, t.customer, "o_custkey", "c_custkey", columns=["c_name", "c_mktsegment"])
-    return out.orderBy("o_totalprice").select(
+    return out.orderBy("o_totalprice", "o_orderkey").select(
         "o_orderkey", "c_name", year_of("o_orderdate").alias("order_year"), "c_mktsegment", "o_totalprice"
     )
 
@@ -160,7 +161,7 @@ def a6_discount_equals_tax(spark: SparkSession, sf_dir: str, skip_flag: str = "N
     ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_shipdate")
     lines = with_names(lines, t.supplier, "l_suppkey", "s_suppkey", columns=["s_name"])
     lines = with_names(lines, t.part, "l_partkey", "p_partkey", columns=["p_name"])
-    return lines.orderBy("l_shipdate").select(
+    return lines.orderBy("l_shipdate", "l_orderkey", "l_linenumber").select(
         "l_orderkey", "l_linenumber", "p_name", year_of("l_shipdate").alias("ship_year"), "l_discount", "l_tax", "s_name"
     )
 
@@ -186,7 +187,9 @@ def i1_orders_per_customer_name(spark: SparkSession, sf_dir: str, priorities: tu
         t.orders.filter(F.col("o_orderpriority").isin(*priorities)), ["o_custkey"], name="n", nonnull="o_orderkey"
     )
     named = per_key.join(_segment_customers(t).select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
-    return named.groupBy("c_name").agg(F.sum("n").alias("order_count")).orderBy(F.col("order_count").desc())
+    return named.groupBy("c_name").agg(F.sum("n").alias("order_count")).orderBy(
+        F.col("order_count").desc(), "c_name"
+    )
 
 
 def i2_fast_shipments(spark: SparkSession, sf_dir: str, max_days: int = 18) -> DataFrame:
@@ -199,7 +202,9 @@ def i2_fast_shipments(spark: SparkSession, sf_dir: str, max_days: int = 18) -> D
     days = days_between("o_orderdate", "l_shipdate")
     out = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("days_to_ship", days)
     out = out.filter((F.col("days_to_ship") < max_days) & (F.col("days_to_ship") >= 0))
-    return out.select("c_name", "o_orderkey", "l_linenumber", "days_to_ship", "c_mktsegment").orderBy("days_to_ship")
+    return out.select("c_name", "o_orderkey", "l_linenumber", "days_to_ship", "c_mktsegment").orderBy(
+        "days_to_ship", "o_orderkey", "l_linenumber"
+    )
 
 
 def i3_busy_parts(spark: SparkSession, sf_dir: str, min_lines: int = 15, status: str = "F") -> DataFrame:
@@ -209,7 +214,7 @@ def i3_busy_parts(spark: SparkSession, sf_dir: str, min_lines: int = 15, status:
     lines = exists_in(t.lineitem.select("l_orderkey", "l_partkey"), finished, "l_orderkey", "o_orderkey")
     busy = count_by(lines, ["l_partkey"], name="line_count").filter(F.col("line_count") > min_lines)
     out = with_names(busy, t.part, "l_partkey", "p_partkey", how="left", columns=["p_name"])
-    return out.select("p_name", "line_count").orderBy(F.col("line_count").desc())
+    return out.orderBy(F.col("line_count").desc(), "l_partkey").select("p_name", "line_count")
 
 
 def i4_old_urgent_orders(
@@ -225,7 +230,7 @@ def i4_old_urgent_orders(
     )
     return orders.select(
         "o_orderkey", (F.lit(current_year) - year_of("o_orderdate")).alias("years_ago"), "o_orderpriority"
-    ).orderBy(F.col("years_ago").desc())
+    ).orderBy(F.col("years_ago").desc(), "o_orderkey")
 
 
 def i5_top_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +239,7 @@ def i5_top_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
     top = first_per_group(orders, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
     out = with_names(top, t.customer, "o_custkey", "c_custkey", columns=["c_name"])
-    return out.select("c_name", "o_orderkey", "o_totalprice").orderBy("c_name")
+    return out.select("c_name", "o_orderkey", "o_totalprice").orderBy("c_name", "o_orderkey")
 
 
 def i6_top_widgets_above_size_mean(spark: SparkSession, sf_dir: str, word: str = "widget", n: int = 3) -> DataFrame:
@@ -243,7 +248,7 @@ def i6_top_widgets_above_size_mean(spark: SparkSession, sf_dir: str, word: str =
     parts = t.part.filter(F.col("p_name").contains(word)).select("p_partkey", "p_name", "p_size", "p_retailprice")
     above = above_group_mean(parts, ["p_size"], "p_retailprice", exact_scale=2)
     top = top_n_per_group(above, ["p_size"], [F.col("p_retailprice").desc(), F.col("p_partkey").asc()], n)
-    return top.orderBy(F.col("p_size").desc(), F.col("p_retailprice").desc())
+    return top.orderBy(F.col("p_size").desc(), F.col("p_retailprice").desc(), "p_partkey")
 
 
 def i7_orders_above_year_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +258,7 @@ def i7_orders_above_year_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", year_of("o_orderdate").alias("order_year"), "o_totalprice"
     )
     above = above_group_mean(orders, ["order_year"], "o_totalprice", mean_name="avg_year_totalprice", exact_scale=2)
-    return above.orderBy(F.col("o_totalprice").desc())
+    return above.orderBy(F.col("o_totalprice").desc(), "o_orderkey")
 
 
 # --------------------------------------------------------------------- M*
@@ -318,7 +323,7 @@ def m5_documents_per_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = t.documents.filter(
         F.col("text").isNotNull() & F.col("source").isNotNull() & F.col("lang").isNotNull()
     )
-    return count_by(docs, ["lang"], name="doc_count").orderBy(F.col("doc_count").desc())
+    return count_by(docs, ["lang"], name="doc_count").orderBy(F.col("doc_count").desc(), "lang")
 
 
 def m6_numbered_big_orders(spark: SparkSession, sf_dir: str, year: int = 2000, min_price: float = 400000.0) -> DataFrame:
@@ -341,7 +346,8 @@ def s1_distinct_parts_per_customer(spark: SparkSession, sf_dir: str, flag: str =
     owned = lines.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     counts = count_by(owned, ["o_custkey"], name="part_count", distinct="l_partkey")
     out = with_names(counts, t.customer, "o_custkey", "c_custkey", how="left", columns=["c_name"])
-    return out.select("c_name", "part_count").orderBy(F.col("part_count").desc())
+    # part_count has few distinct values: sort on the key too so the range sort splits evenly.
+    return out.orderBy(F.col("part_count").desc(), "o_custkey").select("c_name", "part_count")
 
 
 def s2_lines_per_year_and_word(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,7 +356,7 @@ def s2_lines_per_year_and_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.lineitem.select("l_partkey", year_of("l_shipdate").alias("ship_year"))
     words = _words(t.part.filter(F.col("p_type") == MOVIE_TYPE).select("p_partkey", "p_name"), ["p_partkey"])
     counts = count_through(lines, "l_partkey", words, "p_partkey", ["ship_year", "word"], fact_group=["ship_year"])
-    return counts.orderBy(F.col("ship_year").desc(), F.col("count").desc())
+    return counts.orderBy(F.col("ship_year").desc(), F.col("count").desc(), "word")
 
 
 def s3_customers_per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +366,7 @@ def s3_customers_per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = buyers.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     named = located.join(_nation(t), F.col("c_nationkey") == F.col("n_nationkey"))
     return count_by(named, ["n_name"], name="customer_count", distinct="o_custkey").orderBy(
-        F.col("customer_count").desc()
+        F.col("customer_count").desc(), "n_name"
     )
 
 
@@ -384,7 +390,7 @@ def s4_customer_line_stats(spark: SparkSession, sf_dir: str, min_avg_quantity: f
         mean_from("price_c", "n").alias("avg_price"),
         mean_from("qty_c", "n").alias("avg_quantity"),
         F.col("n").alias("line_count"),
-    ).orderBy(F.col("avg_price").desc())
+    ).orderBy(F.col("avg_price").desc(), "c_name")
 
 
 def s5_top_parts_per_word(spark: SparkSession, sf_dir: str, min_size: int = 10, n: int = 5) -> DataFrame:
