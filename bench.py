@@ -32,7 +32,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(master=f"local[{cpus}]", app_name="marquee-bench", shuffle_partitions=cpus * 2)
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2))
+    spark = build_session(master=f"local[{cpus}]", app_name="marquee-bench", shuffle_partitions=partitions)
     names = only or list(registry.QUERIES)
     timings = {}
     for name in names:

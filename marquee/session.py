@@ -36,7 +36,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "4g"))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
