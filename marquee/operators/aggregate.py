@@ -99,3 +99,8 @@ def table_counts(
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def row_count(df: DataFrame, name: str = "n") -> DataFrame:
+    """The row count as a one-row DataFrame (a lazy ``df.count()``)."""
+    return df.groupBy().agg(F.count(F.lit(1)).alias(name))

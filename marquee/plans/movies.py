@@ -32,9 +32,11 @@ from marquee.operators import (
     max_by_group,
     number_rows,
     preview,
+    row_count,
     table_counts,
     top_n_per_group,
     with_names,
+    year_span,
 )
 from marquee.sources.catalog import MovieCatalog
 from marquee.sources.sinks import export_csv
@@ -152,10 +154,10 @@ def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18) -> DataFrame:
         cat.title_basics.select("tconst", "primaryTitle", "startYear"), "tconst"
     )
     people = _actors(cat).select("nconst", "primaryName", "birthYear", "primaryProfession")
-    out = crew.join(people, crew["directors"] == people["nconst"]).withColumn(
-        "actor_age_on_shooting", (F.col("startYear") - F.col("birthYear")).cast("int")
+    out = year_span(
+        crew.join(people, crew["directors"] == people["nconst"]),
+        "birthYear", "startYear", "actor_age_on_shooting", lo=0, hi=max_age,
     )
-    out = out.filter((F.col("actor_age_on_shooting") < max_age) & (F.col("actor_age_on_shooting") >= 0))
     return out.orderBy(F.col("actor_age_on_shooting").asc(), "tconst").select(
         "primaryName", "primaryTitle", "startYear", "actor_age_on_shooting", "primaryProfession"
     )
@@ -246,9 +248,7 @@ def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = "Benedic
 
 def m3_lived_exactly(cat: MovieCatalog, years: int = 50) -> DataFrame:
     people = cat.name_basics.filter(F.col("birthYear").isNotNull() & F.col("deathYear").isNotNull())
-    people = people.withColumn("ageAtDeath", F.col("deathYear") - F.col("birthYear")).filter(
-        F.col("ageAtDeath") == years
-    )
+    people = year_span(people, "birthYear", "deathYear", "ageAtDeath", lo=years, hi=years + 1)
     numbered = number_rows(
         people.select("nconst", "primaryName", "birthYear", "deathYear", "ageAtDeath"),
         ["deathYear", "nconst"], keys=["ageAtDeath"], name="death_rank",
@@ -369,7 +369,7 @@ def st3_release_years(cat: MovieCatalog, min_year: int = 1800) -> DataFrame:
 
 
 def st4_movie_count(cat: MovieCatalog) -> DataFrame:
-    return _movies(cat).groupBy().agg(F.count(F.lit(1)).alias("n"))
+    return row_count(_movies(cat))
 
 
 def st5_movies_per_genre(cat: MovieCatalog) -> DataFrame:

@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 from marquee.functions import (
     bin_label,
     contains_any,
-    days_between,
-    exact_mean,
     fixed_point,
     mean_from,
     single_valued,
@@ -48,9 +46,11 @@ from marquee.operators import (
     max_by_group,
     number_rows,
     preview,
+    row_count,
     table_counts,
     top_n_per_group,
     with_names,
+    year_span,
 )
 from marquee.sources.star import STAR_TABLES, StarTables
 
@@ -199,9 +199,10 @@ def i2_fast_shipments(spark: SparkSession, sf_dir: str, max_days: int = 18) -> D
         _segment_customers(t).select("c_custkey", "c_name", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")
     )
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
-    days = days_between("o_orderdate", "l_shipdate")
-    out = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("days_to_ship", days)
-    out = out.filter((F.col("days_to_ship") < max_days) & (F.col("days_to_ship") >= 0))
+    out = year_span(
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")),
+        "o_orderdate", "l_shipdate", "days_to_ship", lo=0, hi=max_days, days=True,
+    )
     return out.select("c_name", "o_orderkey", "l_linenumber", "days_to_ship", "c_mktsegment").orderBy(
         "days_to_ship", "o_orderkey", "l_linenumber"
     )
@@ -291,10 +292,8 @@ def m3_shipped_after_days(spark: SparkSession, sf_dir: str, days: int = 50) -> D
     t = StarTables(spark, sf_dir)
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
     orders = t.orders.select("o_orderkey", "o_orderdate")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-        "days_to_ship", days_between("o_orderdate", "l_shipdate")
-    )
-    hits = joined.filter(F.col("days_to_ship") == days).select(
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    hits = year_span(joined, "o_orderdate", "l_shipdate", "days_to_ship", lo=days, hi=days + 1, days=True).select(
         "o_orderkey",
         "l_linenumber",
         F.to_date("o_orderdate").alias("order_date"),
@@ -449,7 +448,7 @@ def st3_lines_per_ship_year(spark: SparkSession, sf_dir: str, min_year: int = 18
 
 def st4_standard_part_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = StarTables(spark, sf_dir)
-    return t.part.filter(F.col("p_type") == MOVIE_TYPE).groupBy().agg(F.count(F.lit(1)).alias("n"))
+    return row_count(t.part.filter(F.col("p_type") == MOVIE_TYPE))
 
 
 def st5_standard_parts_per_word(spark: SparkSession, sf_dir: str) -> DataFrame:
