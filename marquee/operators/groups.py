@@ -88,17 +88,30 @@ def group_list(
     ``order`` defaults to the value itself; give a unique last key for a
     deterministic order among equal values.
     """
-    order = as_cols(order) if order else [as_col(value)]
-    order_cols = [c for c in df.columns if c not in keys]
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, *order_cols)
-    numbered = number_rows(rows, order, keys=keys, name="__rn")
-    chunked = numbered.withColumn(
-        chunk_name, F.floor((F.col("__rn") - 1) / F.lit(chunk_rows)).cast("bigint")
-    )
-    listed = chunked.groupBy(*keys, chunk_name).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__rn"), F.col(value).alias("v")))).alias("__items")
-    )
-    values = F.transform("__items", lambda x: x["v"])
+    order = list(order) if order else [value]
+    rows = df.select(*keys, *[c for c in df.columns if c not in keys])
+    if all(isinstance(o, str) for o in order) and _largest_group(rows, keys) <= chunk_rows:
+        # Every group fits in one chunk: sort inside the group, no numbering pass.
+        items = F.array_sort(
+            F.collect_list(F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)], F.col(value).alias("v")))
+        )
+        listed = rows.groupBy(*keys).agg(items.alias("__items")).withColumn(chunk_name, F.lit(0).cast("bigint"))
+    else:
+        numbered = number_rows(rows, as_cols(order), keys=keys, name="__rn")
+        chunked = numbered.withColumn(
+            chunk_name, F.floor((F.col("__rn") - 1) / F.lit(chunk_rows)).cast("bigint")
+        )
+        listed = chunked.groupBy(*keys, chunk_name).agg(
+            F.array_sort(F.collect_list(F.struct(F.col("__rn"), F.col(value).alias("v")))).alias("__items")
+        )
+    # NULL values hold their place in the numbering but are not listed (as collect_list skips them).
+    values = F.transform(F.filter("__items", lambda x: x["v"].isNotNull()), lambda x: x["v"])
     if sep is not None:
         values = F.array_join(values, sep)
     return listed.select(*keys, chunk_name, values.alias(out))
+
+
+def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the largest group (0 for no rows); counts are combined map-side."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return sizes.agg(F.max("__n")).first()[0] or 0
