@@ -4,6 +4,7 @@
     python -m marquee statistics --dumps DIR
     python -m marquee preview --dumps DIR [--rows 5]
     python -m marquee export --dumps DIR --out DIR
+    python -m marquee convert --dumps DIR --out DIR   (dumps -> Parquet, once)
 
 ``--dumps`` reads the seven tab-separated dumps; ``--parquet`` reads
 ``<table>.parquet`` directories instead. Results are shown with ``show`` (only
@@ -29,15 +30,20 @@ def _catalog(spark, args) -> MovieCatalog:
 
 
 def _show(name: str, df, rows: int, count: bool) -> None:
-    print(f"---- {name}: {(movies.QUESTIONS.get(name) or (lambda: None)).__doc__ or ''}".rstrip())
+    doc = (getattr(movies.QUESTIONS.get(name), "__doc__", None) or "").strip().splitlines()
+    print(f"---- {name}" + (f": {doc[0]}" if doc else ""))
+    if count:
+        # one plan feeds two actions: keep its rows instead of computing it twice
+        df = df.persist()
     df.show(rows, truncate=False)
     if count:
         print(f"rows: {df.count()}")
+        df.unpersist()
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marquee")
-    parser.add_argument("command", choices=["questions", "statistics", "preview", "export"])
+    parser.add_argument("command", choices=["questions", "statistics", "preview", "export", "convert"])
     parser.add_argument("ids", nargs="*", help="question IDs (default: all)")
     src = parser.add_mutually_exclusive_group(required=True)
     src.add_argument("--dumps", help="folder with the seven .tsv dumps")
@@ -62,6 +68,11 @@ def main(argv: list[str] | None = None) -> int:
         for name, df in movies.p1_previews(cat, args.rows or 5).items():
             print(f"---- {name}")
             df.show(truncate=False)
+    elif args.command == "convert":
+        if not args.out:
+            parser.error("convert needs --out")
+        for name, path in cat.write_parquet(args.out).items():
+            print(f"{name} -> {path}")
     else:
         if not args.out:
             parser.error("export needs --out")

@@ -47,3 +47,14 @@ def test_command_line(dumps):
     )
     assert out.returncode == 0, out.stderr[-2000:]
     assert "---- S3" in out.stdout and "rows: 2" in out.stdout
+
+
+def test_parquet_round_trip(spark, dumps):
+    out = tempfile.mkdtemp(prefix="marquee-parquet-")
+    MovieCatalog.from_tsv(spark, dumps).write_parquet(out)
+    back = MovieCatalog.from_parquet(spark, out)
+    for table, schema in SCHEMAS.items():
+        assert back.tables()[table].schema == schema
+    assert sorted(map(repr, movies.s5_top5_per_genre(back).collect())) == sorted(
+        map(repr, movies.s5_top5_per_genre(MovieCatalog.from_tsv(spark, dumps)).collect())
+    )
