@@ -23,3 +23,25 @@ def test_matches_oracle(spark, con, name):
     result = compare(spark, name, registry.QUERIES[name], registry.oracle_sql()[name], SF01, con)
     assert "error" not in result, result
     assert result["spark_rows"] > 0
+
+
+@pytest.fixture
+def other_layout(spark):
+    """Another physical layout: AQE off, 3 shuffle partitions, no automatic broadcast."""
+    conf = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "3",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["A1", "A3", "I5", "I7", "M3", "M4", "M6", "S4", "S6"])
+def test_result_does_not_depend_on_layout(other_layout, con, name):
+    result = compare(other_layout, name, registry.QUERIES[name], registry.oracle_sql()[name], SF01, con)
+    assert "error" not in result, result
