@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from marquee.functions import bin_label, exact_mean
 from marquee.operators import above_group_mean, explode_list, group_list, number_rows, top_n_per_group
