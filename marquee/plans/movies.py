@@ -74,19 +74,36 @@ def a2_german_movies_from_year(
     ).orderBy("year", "tconst", "title")
 
 
-def a3_writers_with_avg_rating_from(cat: MovieCatalog, border_rating: float = 8.1, min_votes: int = 1000) -> DataFrame:
-    """Writer names (namesakes merged; single-writer titles only) with mean rating >= border."""
+def _crew_people(cat: MovieCatalog, column: str, explode: bool) -> DataFrame:
+    """(tconst, person id) from a crew list column: the whole string as one id
+    (only single-person lists can match a person), or every listed id."""
+    crew = cat.title_crew.select("tconst", column)
+    if explode:
+        return explode_list(crew, column, "__person", keep=["tconst"])
+    return crew.select("tconst", F.col(column).alias("__person"))
+
+
+def a3_writers_with_avg_rating_from(
+    cat: MovieCatalog, border_rating: float = 8.1, min_votes: int = 1000, explode: bool = False, by_id: bool = False
+) -> DataFrame:
+    """Writers with mean rating >= border.
+
+    Defaults follow the original: namesakes merge (grouped by name) and only
+    single-writer titles match. ``explode=True`` credits every listed writer;
+    ``by_id=True`` keeps namesakes apart (adds ``nconst``).
+    """
     rated = exists_in(
         cat.title_ratings.filter(F.col("numVotes") >= min_votes).select("tconst", "averageRating"),
         cat.title_basics, "tconst",
     )
     writers = with_names(
-        cat.title_crew.select("tconst", "writers"), cat.name_basics, "writers", "nconst",
+        _crew_people(cat, "writers", explode), cat.name_basics, "__person", "nconst",
         columns=["primaryName"], rename={"primaryName": "writer"},
     )
-    joined = rated.join(writers.select("tconst", "writer"), "tconst")
-    means = joined.groupBy("writer").agg(F.avg("averageRating").alias("avgWriterRating"))
-    return means.filter(F.col("avgWriterRating") >= border_rating).orderBy("avgWriterRating", "writer")
+    joined = rated.join(writers.select("tconst", "writer", F.col("__person").alias("nconst")), "tconst")
+    keys = ["nconst", "writer"] if by_id else ["writer"]
+    means = joined.groupBy(*keys).agg(F.avg("averageRating").alias("avgWriterRating"))
+    return means.filter(F.col("avgWriterRating") >= border_rating).orderBy("avgWriterRating", *keys)
 
 
 def a4_countries_longest_series(cat: MovieCatalog) -> DataFrame:
@@ -138,24 +155,29 @@ def _actors(cat: MovieCatalog) -> DataFrame:
     return cat.name_basics.filter(contains_any("primaryProfession", *ACTOR_WORDS))
 
 
-def i1_actor_film_counts(cat: MovieCatalog) -> DataFrame:
-    """Actor/actress principal rows per person name (namesakes merged), descending."""
+def i1_actor_film_counts(cat: MovieCatalog, by_id: bool = False) -> DataFrame:
+    """Actor/actress principal rows per person name, descending.
+
+    Namesakes merge as in the original; ``by_id=True`` keeps them apart (adds ``nconst``).
+    """
     roles = cat.title_principals.filter(F.col("category").isin(*ACTOR_WORDS))
     per_person = count_by(roles, ["nconst"], name="n", nonnull="tconst")
     named = per_person.join(_actors(cat).select("nconst", "primaryName"), "nconst")
-    return named.groupBy("primaryName").agg(F.sum("n").alias("film_count")).orderBy(
-        F.col("film_count").desc(), "primaryName"
+    keys = ["nconst", "primaryName"] if by_id else ["primaryName"]
+    return named.groupBy(*keys).agg(F.sum("n").alias("film_count")).orderBy(
+        F.col("film_count").desc(), *keys
     )
 
 
-def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18) -> DataFrame:
-    """Titles whose sole director is an actor/actress aged [0, max_age) at the start year."""
-    crew = cat.title_crew.select("tconst", "directors").join(
+def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18, explode: bool = False) -> DataFrame:
+    """Titles whose sole director (every listed director with ``explode=True``)
+    is an actor/actress aged [0, max_age) at the start year."""
+    crew = _crew_people(cat, "directors", explode).join(
         cat.title_basics.select("tconst", "primaryTitle", "startYear"), "tconst"
     )
     people = _actors(cat).select("nconst", "primaryName", "birthYear", "primaryProfession")
     out = year_span(
-        crew.join(people, crew["directors"] == people["nconst"]),
+        crew.join(people, crew["__person"] == people["nconst"]),
         "birthYear", "startYear", "actor_age_on_shooting", lo=0, hi=max_age,
     )
     return out.orderBy(F.col("actor_age_on_shooting").asc(), "tconst").select(
@@ -235,9 +257,14 @@ def m1_titles_with_single_director(cat: MovieCatalog) -> DataFrame:
     return _renamed(out.select("primaryTitle", "directors", "primaryName"))
 
 
-def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = "Benedict") -> DataFrame:
-    """One title per director whose name contains ``name_part`` (first by title id)."""
-    crew = cat.title_crew.filter(F.col("directors").isNotNull()).select("tconst", "directors")
+def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = "Benedict", explode: bool = False) -> DataFrame:
+    """One title per director whose name contains ``name_part`` (first by title id).
+
+    As in the original only single-director titles match; ``explode=True``
+    also credits directors listed with others.
+    """
+    crew = _crew_people(cat, "directors", explode).filter(F.col("__person").isNotNull())
+    crew = crew.select("tconst", F.col("__person").alias("directors"))
     people = cat.name_basics.filter(F.col("primaryName").contains(name_part)).select("nconst", "primaryName")
     joined = crew.join(people, crew["directors"] == people["nconst"]).join(
         cat.title_basics.select("tconst", "primaryTitle"), "tconst"

@@ -195,3 +195,18 @@ def test_every_question_registered(catalog):
     )
     for fn in q.QUESTIONS.values():
         fn(catalog).schema  # every plan analyzes
+
+
+def test_options_keep_namesakes_apart(catalog):
+    got = rows(q.a3_writers_with_avg_rating_from(catalog, 8.1, by_id=True), "nconst", "writer")
+    assert sorted(got) == [("nm1", "Ann Lee"), ("nm2", "Benedict Roe")]  # nm1 alone averages 8.5
+    counts = sorted(rows(q.i1_actor_film_counts(catalog, by_id=True)))
+    assert counts == [("nm1", "Ann Lee", 2), ("nm2", "Benedict Roe", 2), ("nm3", "Ann Lee", 1)]
+
+
+def test_options_explode_crew_lists(catalog):
+    # with every listed director credited, Beta (tt02, "nm1,nm2") is Benedict's first title
+    assert rows(q.m2_one_title_per_named_director(catalog, explode=True)) == [("Beta", "nm2", "Benedict Roe")]
+    assert rows(q.i2_minor_actor_directors(catalog, explode=True), "primaryName", "primaryTitle") == [
+        ("Ann Lee", "Delta"), ("Dee Fox", "Theta"),
+    ]
