@@ -13,7 +13,7 @@ Conventions that keep results exact and comparable:
 * lists are emitted in a stated order, in bounded chunks;
 * year filters are written as timestamp ranges so they reach the scan.
 
-Every function takes ``(spark, sf_dir)`` plus parameters with the reference's
+Every function takes ``(spark, sf_dir)`` plus parameters with the original questions'
 defaults mapped to this data, and returns a lazy DataFrame (``number_rows`` and
 size checks run small jobs while the plan is built).
 """
@@ -54,7 +54,7 @@ from marquee.operators import (
 )
 from marquee.sources.star import STAR_TABLES, StarTables
 
-# Bindings of the reference's literals to this data.
+# Bindings of the original questions' literals to this data.
 RETURN_FLAG = "R"  # localized-title region "DE"
 LINE_STATUS = "O"  # localized-title language "de"
 MOVIE_TYPE = "STANDARD"  # titleType "movie"
