@@ -126,3 +126,19 @@ def test_exact_mean_is_order_free(spark):
     ma = a.agg(exact_mean("x").alias("m")).first()["m"]
     mb = b.agg(exact_mean("x").alias("m")).first()["m"]
     assert ma == mb == 0.2
+
+
+def test_shuffle_join_branch_when_lookup_exceeds_bound(spark):
+    rows = [(i, ["a", "b", None][i % 3], i % 7) for i in range(60)]
+    df = spark.createDataFrame(rows, KEYED).repartition(4)
+    small = {r["id"]: r["rn"] for r in number_rows(df, ["v", "id"], keys=["g"], name="rn").collect()}
+    big = number_rows(df, ["v", "id"], keys=["g"], name="rn", max_broadcast_rows=0)
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    assert {r["id"]: r["rn"] for r in big.collect()} == small
+
+    prices = spark.createDataFrame([(i, ["a", "b", None][i % 3], (i * 37 % 100) / 4) for i in range(60)], "id long, g string, p double")
+    a = {r["id"] for r in above_group_mean(prices, ["g"], "p", exact_scale=2).collect()}
+    b_df = above_group_mean(prices, ["g"], "p", exact_scale=2, max_broadcast_rows=0)
+    assert "BroadcastHashJoin" not in b_df._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"] for r in b_df.collect()} == a
