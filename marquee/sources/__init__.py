@@ -1,13 +1,14 @@
 """Sources and sinks: declared-schema TSV/Parquet readers, the typed catalog,
 the star-schema test tables and CSV export."""
 
-from marquee.sources.catalog import MovieCatalog
+from marquee.sources.catalog import MovieCatalog, read_tables
 from marquee.sources.readers import TSV_OPTIONS, read_parquet, read_tsv
 from marquee.sources.sinks import csv_ready, export_csv
 from marquee.sources.star import STAR_TABLES, StarTables
 
 __all__ = [
     "MovieCatalog",
+    "read_tables",
     "TSV_OPTIONS",
     "read_parquet",
     "read_tsv",

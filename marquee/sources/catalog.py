@@ -63,3 +63,12 @@ class MovieCatalog:
     def from_rows(cls, spark: SparkSession, rows: dict[str, list[tuple]]) -> MovieCatalog:
         """Build a catalog from in-memory rows (fixtures); missing tables are empty."""
         return cls(**{t: spark.createDataFrame(rows.get(t, []), schema) for t, schema in SCHEMAS.items()})
+
+
+def read_tables(spark: SparkSession, root: str, fmt: str = "tsv") -> MovieCatalog:
+    """The seven tables under ``root`` as a catalog; ``fmt`` is ``"tsv"`` or ``"parquet"``."""
+    if fmt == "tsv":
+        return MovieCatalog.from_tsv(spark, root)
+    if fmt == "parquet":
+        return MovieCatalog.from_parquet(spark, root)
+    raise ValueError(f"unknown format {fmt!r}")

@@ -58,3 +58,12 @@ def test_parquet_round_trip(spark, dumps):
     assert sorted(map(repr, movies.s5_top5_per_genre(back).collect())) == sorted(
         map(repr, movies.s5_top5_per_genre(MovieCatalog.from_tsv(spark, dumps)).collect())
     )
+
+
+def test_read_tables(spark, dumps):
+    from marquee.sources import read_tables
+
+    cat = read_tables(spark, dumps, "tsv")
+    assert cat.title_basics.count() == len(ROWS["title_basics"])
+    with pytest.raises(ValueError):
+        read_tables(spark, dumps, "xml")
