@@ -1,11 +1,15 @@
 """Year arithmetic written so predicates reach the Parquet scan.
 
-``year(ts) >= 2000`` is opaque to pushdown; ``ts >= TIMESTAMP_NTZ '2000-01-01'``
-is pushed as a Parquet row-group filter. The helpers below produce the latter.
+``year(ts) >= 2000`` is opaque to pushdown; ``ts >= DATE '2000-01-01'`` is
+pushed as a Parquet row-group filter. The helpers below produce the latter.
+A DATE literal is coerced to the column's type (DATE, TIMESTAMP_NTZ, or
+TIMESTAMP at the session time zone's midnight), so one helper serves all three.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,8 +17,8 @@ from marquee.functions.util import as_col
 
 
 def year_start(year: int) -> Column:
-    """Midnight of 1 January ``year`` as a TIMESTAMP_NTZ literal."""
-    return F.expr(f"TIMESTAMP_NTZ '{int(year):04d}-01-01 00:00:00'")
+    """1 January ``year`` as a DATE literal."""
+    return F.lit(dt.date(int(year), 1, 1))
 
 
 def year_of(col: Column | str) -> Column:

@@ -142,3 +142,21 @@ def test_shuffle_join_branch_when_lookup_exceeds_bound(spark):
     b_df = above_group_mean(prices, ["g"], "p", exact_scale=2, max_broadcast_rows=0)
     assert "BroadcastHashJoin" not in b_df._jdf.queryExecution().executedPlan().toString()
     assert {r["id"] for r in b_df.collect()} == a
+
+
+def test_year_helpers_on_date_ntz_and_ltz_columns(spark):
+    from marquee.functions import in_year, year_at_least, year_below
+
+    df = spark.createDataFrame(
+        [(1, "1999-12-31 23:59:59"), (2, "2000-01-01 00:00:00"), (3, "2000-12-31 23:59:59"), (4, "2001-01-01 00:00:00")],
+        "id int, s string",
+    ).select(
+        "id",
+        F.to_timestamp_ntz("s").alias("ntz"),
+        F.to_timestamp("s").alias("ltz"),
+        F.to_date("s").alias("d"),
+    )
+    for c in ("ntz", "ltz", "d"):
+        assert sorted(r.id for r in df.filter(in_year(c, 2000)).collect()) == [2, 3], c
+        assert sorted(r.id for r in df.filter(year_at_least(c, 2000)).collect()) == [2, 3, 4], c
+        assert sorted(r.id for r in df.filter(year_below(c, 2000)).collect()) == [1], c
