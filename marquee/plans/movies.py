@@ -41,7 +41,31 @@ from marquee.operators import (
 from marquee.sources.catalog import MovieCatalog
 from marquee.sources.sinks import export_csv
 
+# The original questions' literals, in question order. They are
+# the parameter defaults below; every one can be overridden per call.
+REGION = "DE"
+LANGUAGE = "de"
+BORDER_YEAR = 2010
+BORDER_RATING = 8.1
+MIN_VOTES = 1000
+MOVIE = "movie"
+EPISODE = "tvEpisode"
 ACTOR_WORDS = ("actor", "actress")
+MAX_AGE = 18
+MIN_EPISODES = 100
+CURRENT_YEAR = 2025
+MIN_LIVING_AGE = 90
+DRAMA = "Drama"
+TOP_DRAMAS = 3
+NAME_PART = "Benedict"
+LIFESPAN = 50
+PROFESSION_PART = "music_dep"
+POPULAR_YEAR = 2024
+POPULAR_VOTES = 10000
+ACTOR_CATEGORY = "actor"
+SERIES_MIN_AVG_VOTES = 1000
+TOP_PER_GENRE = 5
+MIN_STAT_YEAR = 1800
 
 
 def _genres(titles: DataFrame, keep: list[str]) -> DataFrame:
@@ -49,13 +73,13 @@ def _genres(titles: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _movies(cat: MovieCatalog) -> DataFrame:
-    return cat.title_basics.filter(F.col("titleType") == "movie")
+    return cat.title_basics.filter(F.col("titleType") == MOVIE)
 
 
 # ----------------------------------------------------------------- A1..A7
 
 
-def a1_german_region_genres(cat: MovieCatalog, region: str = "DE") -> DataFrame:
+def a1_german_region_genres(cat: MovieCatalog, region: str = REGION) -> DataFrame:
     """(aka row in ``region`` x genre of its title) pairs per genre."""
     akas = cat.title_akas.filter(F.col("region") == region).select("titleId")
     genres = explode_list(cat.title_basics.select("tconst", "genres"), "genres", "genre", keep=["tconst"])
@@ -63,7 +87,7 @@ def a1_german_region_genres(cat: MovieCatalog, region: str = "DE") -> DataFrame:
 
 
 def a2_german_movies_from_year(
-    cat: MovieCatalog, border_year: int = 2010, language: str = "de", region: str = "DE"
+    cat: MovieCatalog, border_year: int = BORDER_YEAR, language: str = LANGUAGE, region: str = REGION
 ) -> DataFrame:
     movies = _movies(cat).filter(F.col("startYear") >= border_year)
     akas = cat.title_akas.filter((F.col("language") == language) & (F.col("region") == region))
@@ -84,7 +108,11 @@ def _crew_people(cat: MovieCatalog, column: str, explode: bool) -> DataFrame:
 
 
 def a3_writers_with_avg_rating_from(
-    cat: MovieCatalog, border_rating: float = 8.1, min_votes: int = 1000, explode: bool = False, by_id: bool = False
+    cat: MovieCatalog,
+    border_rating: float = BORDER_RATING,
+    min_votes: int = MIN_VOTES,
+    explode: bool = False,
+    by_id: bool = False,
 ) -> DataFrame:
     """Writers with mean rating >= border.
 
@@ -110,7 +138,7 @@ def a4_countries_longest_series(cat: MovieCatalog) -> DataFrame:
     """Largest episode number per aka region over episodes, descending."""
     episodes = exists_in(
         cat.title_episode.select("tconst", "episodeNumber"),
-        cat.title_basics.filter(F.col("titleType") == "tvEpisode"), "tconst",
+        cat.title_basics.filter(F.col("titleType") == EPISODE), "tconst",
     )
     akas = cat.title_akas.filter(F.col("region").isNotNull()).select("titleId", "region")
     joined = episodes.join(akas, episodes["tconst"] == akas["titleId"])
@@ -119,8 +147,10 @@ def a4_countries_longest_series(cat: MovieCatalog) -> DataFrame:
     )
 
 
-def a5_episodes_with_rating_from(cat: MovieCatalog, border_rating: float = 8.1, min_votes: int = 1000) -> DataFrame:
-    episodes = cat.title_basics.filter(F.col("titleType") == "tvEpisode")
+def a5_episodes_with_rating_from(
+    cat: MovieCatalog, border_rating: float = BORDER_RATING, min_votes: int = MIN_VOTES
+) -> DataFrame:
+    episodes = cat.title_basics.filter(F.col("titleType") == EPISODE)
     ratings = cat.title_ratings.filter(
         (F.col("numVotes") >= min_votes) & (F.col("averageRating") >= float_literal(border_rating))
     )
@@ -169,7 +199,7 @@ def i1_actor_film_counts(cat: MovieCatalog, by_id: bool = False) -> DataFrame:
     )
 
 
-def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18, explode: bool = False) -> DataFrame:
+def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = MAX_AGE, explode: bool = False) -> DataFrame:
     """Titles whose sole director (every listed director with ``explode=True``)
     is an actor/actress aged [0, max_age) at the start year."""
     crew = _crew_people(cat, "directors", explode).join(
@@ -185,17 +215,17 @@ def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = 18, explode: bool
     )
 
 
-def i3_long_series(cat: MovieCatalog, min_episodes: int = 100) -> DataFrame:
+def i3_long_series(cat: MovieCatalog, min_episodes: int = MIN_EPISODES) -> DataFrame:
     episodes = exists_in(
         cat.title_episode.select("tconst", "parentTconst"),
-        cat.title_basics.filter(F.col("titleType") == "tvEpisode"), "tconst",
+        cat.title_basics.filter(F.col("titleType") == EPISODE), "tconst",
     )
     counts = count_by(episodes, ["parentTconst"], name="episode_count").filter(F.col("episode_count") > min_episodes)
     out = with_names(counts, cat.title_basics, "parentTconst", "tconst", how="left", columns=["primaryTitle"])
     return out.orderBy(F.col("episode_count").desc(), "parentTconst").select("primaryTitle", "episode_count")
 
 
-def i4_old_living_actors(cat: MovieCatalog, current_year: int = 2025, min_age: int = 90) -> DataFrame:
+def i4_old_living_actors(cat: MovieCatalog, current_year: int = CURRENT_YEAR, min_age: int = MIN_LIVING_AGE) -> DataFrame:
     # current_year - birthYear > min_age  <=>  birthYear < current_year - min_age (pushed to the scan)
     people = _actors(cat).filter(
         F.col("deathYear").isNull() & F.col("birthYear").isNotNull()
@@ -227,7 +257,7 @@ def _rated_movies(cat: MovieCatalog, genre: str | None = None) -> DataFrame:
     return movies.select("tconst", "primaryTitle", "startYear").join(ratings.select("tconst", "averageRating"), "tconst")
 
 
-def i6_top_dramas_per_year(cat: MovieCatalog, genre: str = "Drama", n: int = 3) -> DataFrame:
+def i6_top_dramas_per_year(cat: MovieCatalog, genre: str = DRAMA, n: int = TOP_DRAMAS) -> DataFrame:
     above = above_group_mean(_rated_movies(cat, genre), ["startYear"], "averageRating")
     top = top_n_per_group(above, ["startYear"], [F.col("averageRating").desc(), F.col("tconst").asc()], n)
     return top.orderBy(F.col("startYear").desc(), F.col("averageRating").desc(), "tconst").select(
@@ -257,7 +287,7 @@ def m1_titles_with_single_director(cat: MovieCatalog) -> DataFrame:
     return _renamed(out.select("primaryTitle", "directors", "primaryName"))
 
 
-def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = "Benedict", explode: bool = False) -> DataFrame:
+def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = NAME_PART, explode: bool = False) -> DataFrame:
     """One title per director whose name contains ``name_part`` (first by title id).
 
     As in the original only single-director titles match; ``explode=True``
@@ -273,7 +303,7 @@ def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = "Benedic
     return _renamed(first.select("primaryTitle", "directors", "primaryName"))
 
 
-def m3_lived_exactly(cat: MovieCatalog, years: int = 50) -> DataFrame:
+def m3_lived_exactly(cat: MovieCatalog, years: int = LIFESPAN) -> DataFrame:
     people = cat.name_basics.filter(F.col("birthYear").isNotNull() & F.col("deathYear").isNotNull())
     people = year_span(people, "birthYear", "deathYear", "ageAtDeath", lo=years, hi=years + 1)
     numbered = number_rows(
@@ -286,7 +316,7 @@ def m3_lived_exactly(cat: MovieCatalog, years: int = 50) -> DataFrame:
     )
 
 
-def m4_music_department_groups(cat: MovieCatalog, profession_part: str = "music_dep") -> DataFrame:
+def m4_music_department_groups(cat: MovieCatalog, profession_part: str = PROFESSION_PART) -> DataFrame:
     """Names per full profession string containing ``profession_part`` (ordered, chunked lists)."""
     people = cat.name_basics.filter(F.col("primaryProfession").contains(profession_part)).select(
         "primaryProfession", "primaryName", "nconst"
@@ -304,7 +334,7 @@ def m5_akas_per_language(cat: MovieCatalog) -> DataFrame:
     )
 
 
-def m6_popular_titles_of_year(cat: MovieCatalog, year: int = 2024, min_votes: int = 10000) -> DataFrame:
+def m6_popular_titles_of_year(cat: MovieCatalog, year: int = POPULAR_YEAR, min_votes: int = POPULAR_VOTES) -> DataFrame:
     """Titles of ``year`` with more than ``min_votes`` votes, numbered by votes (all rows kept)."""
     titles = cat.title_basics.filter(F.col("startYear") == year).select("tconst", "primaryTitle", "startYear")
     rated = titles.join(cat.title_ratings.filter(F.col("numVotes") > min_votes).select("tconst", "numVotes"), "tconst")
@@ -315,7 +345,7 @@ def m6_popular_titles_of_year(cat: MovieCatalog, year: int = 2024, min_votes: in
 # ----------------------------------------------------------------- S1..S6
 
 
-def s1_most_active_actors(cat: MovieCatalog, category: str = "actor") -> DataFrame:
+def s1_most_active_actors(cat: MovieCatalog, category: str = ACTOR_CATEGORY) -> DataFrame:
     roles = exists_in(cat.title_principals.filter(F.col("category") == category), _movies(cat), "tconst")
     counts = count_by(roles, ["nconst"], name="film_count", distinct="tconst")
     out = counts.join(cat.name_basics.select("nconst", "primaryName"), "nconst", "left")
@@ -336,7 +366,7 @@ def s3_top_regions(cat: MovieCatalog) -> DataFrame:
     )
 
 
-def s4_top_series(cat: MovieCatalog, min_avg_votes: float = 1000) -> DataFrame:
+def s4_top_series(cat: MovieCatalog, min_avg_votes: float = SERIES_MIN_AVG_VOTES) -> DataFrame:
     rated = cat.title_episode.select("tconst", "parentTconst").join(cat.title_ratings, "tconst")
     stats = rated.groupBy("parentTconst").agg(
         F.avg("averageRating").alias("avg_rating"),
@@ -349,7 +379,7 @@ def s4_top_series(cat: MovieCatalog, min_avg_votes: float = 1000) -> DataFrame:
     )
 
 
-def s5_top5_per_genre(cat: MovieCatalog, min_votes: int = 10000, n: int = 5) -> DataFrame:
+def s5_top5_per_genre(cat: MovieCatalog, min_votes: int = POPULAR_VOTES, n: int = TOP_PER_GENRE) -> DataFrame:
     genres = _genres(cat.title_basics.select("tconst", "primaryTitle", "startYear", "genres"),
                      ["tconst", "primaryTitle", "startYear"])
     rated = genres.join(cat.title_ratings.filter(F.col("numVotes") > min_votes), "tconst")
@@ -385,12 +415,12 @@ def st1_table_counts(cat: MovieCatalog) -> DataFrame:
     return table_counts(cat.tables())
 
 
-def st2_birth_years(cat: MovieCatalog, min_year: int = 1800) -> DataFrame:
+def st2_birth_years(cat: MovieCatalog, min_year: int = MIN_STAT_YEAR) -> DataFrame:
     people = cat.name_basics.filter(F.col("birthYear").isNotNull() & (F.col("birthYear") >= min_year))
     return count_by(people, ["birthYear"]).orderBy("birthYear")
 
 
-def st3_release_years(cat: MovieCatalog, min_year: int = 1800) -> DataFrame:
+def st3_release_years(cat: MovieCatalog, min_year: int = MIN_STAT_YEAR) -> DataFrame:
     titles = cat.title_basics.filter(F.col("startYear").isNotNull() & (F.col("startYear") >= min_year))
     return count_by(titles, ["startYear"]).orderBy("startYear")
 
