@@ -1,0 +1,216 @@
+"""The catalog questions against independent DuckDB SQL on random catalogs.
+
+Each seed builds small tables with NULLs, multi-person lists, namesakes, equal
+ratings and missing joins; Spark's answer must equal the SQL answer as a
+multiset (floats to 1e-9). SQL states Spark's NULL ordering explicitly
+(ASC NULLS FIRST, DESC NULLS LAST) and the same id tie-breaks.
+"""
+
+from __future__ import annotations
+
+import math
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+
+from marquee.plans import movies as q
+from marquee.schemas import SCHEMAS
+from marquee.sources import MovieCatalog
+
+N = None
+SEEDS = [1, 2, 3, 4]
+
+
+def make_rows(seed: int) -> dict[str, list[tuple]]:
+    rnd = random.Random(seed)
+    pick = rnd.choice
+    titles = [f"tt{i:02d}" for i in range(40)]
+    people = [f"nm{i}" for i in range(8)]
+    names = ["Ann Lee", "Ann Lee", "Benedict Roe", "Cy Poe", "Dee Fox", "Benedict Cole", "Eli Orr", "Fay Wu"]
+    basics = [
+        (t, pick(["movie", "movie", "tvEpisode", "tvSeries"]), pick(["Alpha", "Beta", "Gamma", "Delta", None]), N, 0,
+         pick([N, 1999, 2000, 2001, 2024]), N, pick([N, 30, 45, 90, 120]),
+         pick([N, "Drama", "Comedy", "Drama,Comedy", "Action,Drama", ""]))
+        for t in titles
+    ]
+    ratings = [
+        (t, pick([1.0, 5.5, 8.1, 8.2, 9.0, 9.0, 9.4]), pick([500, 999, 1000, 1500, 10000, 10001, 20000]))
+        for t in titles if rnd.random() < 0.8
+    ]
+    crew_lists = [N, "nm1", "nm2", "nm3", "nm1,nm2", "nm5", "nm9", "nm2,nm5"]
+    crew = [(t, pick(crew_lists), pick(crew_lists)) for t in titles if rnd.random() < 0.9]
+    name_rows = [
+        (p, names[i], pick([N, 1930, 1950, 1974, 1990, 2010]), pick([N, N, 2000, 2024, 1980]),
+         pick(["actor", "actress", "director,actor", "music_department", "actor,music_department", "writer", N]), N)
+        for i, p in enumerate(people)
+    ]
+    series = [t for t, ty, *_ in basics if ty == "tvSeries"] or ["tt99"]
+    episodes = [(t, pick(series), pick([N, 1, 2]), pick([N, 1, 3, 7])) for t, ty, *_ in basics if ty == "tvEpisode"]
+    akas = [
+        (pick(titles), o, pick(["T1", "T2", N]), pick(["DE", "FR", N]), pick(["de", "fr", N]), N, N, N)
+        for o in range(30)
+    ]
+    principals = [
+        (pick(titles), o, pick(people + ["nm9"]), pick(["actor", "actress", "director"]), N, N) for o in range(40)
+    ]
+    return {
+        "title_basics": basics, "title_ratings": ratings, "title_crew": crew, "name_basics": name_rows,
+        "title_episode": episodes, "title_akas": akas, "title_principals": principals,
+    }
+
+
+def duck_for(rows: dict[str, list[tuple]]) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table, schema in SCHEMAS.items():
+        frame = pd.DataFrame(rows[table], columns=schema.fieldNames())
+        for f in schema.fields:
+            kind = f.dataType.simpleString()
+            if kind == "int":
+                frame[f.name] = frame[f.name].astype("Int32")
+            elif kind == "float":
+                frame[f.name] = frame[f.name].astype("float32")
+            else:
+                frame[f.name] = frame[f.name].astype("object")
+        con.register(f"{table}_df", frame)
+        con.execute(f"CREATE TABLE {table} AS SELECT * FROM {table}_df")
+    return con
+
+
+# The questions whose semantics are easiest to get subtly wrong, as SQL.
+SQL = {
+    "A1": """SELECT g.genre, count(*) AS count FROM title_akas a
+             JOIN (SELECT tconst, unnest(string_split(genres, ',')) AS genre FROM title_basics) g ON a.titleId = g.tconst
+             WHERE a.region = 'DE' GROUP BY g.genre""",
+    "A3": """SELECT n.primaryName AS writer, avg(r.averageRating) AS avgWriterRating
+             FROM title_ratings r JOIN title_crew c ON r.tconst = c.tconst
+             JOIN name_basics n ON c.writers = n.nconst
+             WHERE r.numVotes >= 1000 AND r.tconst IN (SELECT tconst FROM title_basics)
+             GROUP BY n.primaryName HAVING avg(r.averageRating) >= 8.1""",
+    "A4": """SELECT a.region, max(e.episodeNumber) AS maxEpisodeNumber
+             FROM title_episode e JOIN title_akas a ON e.tconst = a.titleId
+             WHERE a.region IS NOT NULL AND e.tconst IN (SELECT tconst FROM title_basics WHERE titleType = 'tvEpisode')
+             GROUP BY a.region""",
+    "A5": """SELECT b.primaryTitle AS episodeTitle, b.startYear AS releaseYear, b.genres, r.averageRating, r.numVotes
+             FROM title_basics b JOIN title_ratings r ON b.tconst = r.tconst
+             WHERE b.titleType = 'tvEpisode' AND r.numVotes >= 1000 AND r.averageRating >= CAST(8.1 AS FLOAT)""",
+    "I1": """SELECT n.primaryName, count(p.tconst) AS film_count FROM title_principals p
+             JOIN name_basics n ON p.nconst = n.nconst
+             WHERE p.category IN ('actor', 'actress')
+               AND (contains(n.primaryProfession, 'actor') OR contains(n.primaryProfession, 'actress'))
+             GROUP BY n.primaryName""",
+    "I5": """SELECT n.primaryName, x.primaryTitle FROM (
+               SELECT c.directors AS nconst, b.primaryTitle,
+                      row_number() OVER (PARTITION BY c.directors ORDER BY r.averageRating DESC NULLS LAST, c.tconst) AS rn
+               FROM title_crew c JOIN title_basics b ON c.tconst = b.tconst JOIN title_ratings r ON c.tconst = r.tconst
+               WHERE c.directors IS NOT NULL AND NOT contains(c.directors, ',')) x
+             JOIN name_basics n ON x.nconst = n.nconst WHERE rn = 1""",
+    "I6": """WITH m AS (SELECT b.tconst, b.primaryTitle, b.startYear, r.averageRating FROM title_basics b
+                        JOIN title_ratings r ON b.tconst = r.tconst
+                        WHERE b.titleType = 'movie' AND b.primaryTitle IS NOT NULL AND b.startYear IS NOT NULL
+                          AND contains(b.genres, 'Drama') AND r.averageRating IS NOT NULL),
+             a AS (SELECT *, avg(averageRating) OVER (PARTITION BY startYear) AS mean FROM m),
+             k AS (SELECT *, row_number() OVER (PARTITION BY startYear ORDER BY averageRating DESC NULLS LAST, tconst) AS rn
+                   FROM a WHERE averageRating > mean)
+             SELECT primaryTitle, startYear, averageRating FROM k WHERE rn <= 3""",
+    "I7": """WITH m AS (SELECT b.tconst, b.primaryTitle, b.startYear, r.averageRating FROM title_basics b
+                        JOIN title_ratings r ON b.tconst = r.tconst
+                        WHERE b.titleType = 'movie' AND b.primaryTitle IS NOT NULL AND b.startYear IS NOT NULL
+                          AND r.averageRating IS NOT NULL),
+             a AS (SELECT *, avg(averageRating) OVER (PARTITION BY startYear) AS avg_year_rating FROM m)
+             SELECT primaryTitle, startYear, averageRating, avg_year_rating FROM a WHERE averageRating > avg_year_rating""",
+    "M1": """SELECT b.primaryTitle AS filmName, c.directors AS director_ids, n.primaryName AS Names
+             FROM title_basics b JOIN title_crew c ON b.tconst = c.tconst
+             LEFT JOIN name_basics n ON c.directors = n.nconst
+             WHERE c.directors IS NOT NULL AND len(string_split(c.directors, ',')) <= 1""",
+    "M2": """SELECT primaryTitle AS filmName, directors AS director_ids, primaryName AS Names FROM (
+               SELECT b.primaryTitle, c.directors, n.primaryName,
+                      row_number() OVER (PARTITION BY c.directors ORDER BY c.tconst) AS rn
+               FROM title_crew c JOIN name_basics n ON c.directors = n.nconst JOIN title_basics b ON c.tconst = b.tconst
+               WHERE contains(n.primaryName, 'Benedict')) WHERE rn = 1""",
+    "M3": """SELECT primaryName AS name, birthYear AS birth, deathYear AS Death, deathYear - birthYear AS ageAtDeath,
+                    row_number() OVER (PARTITION BY deathYear - birthYear ORDER BY deathYear, nconst) AS death_rank
+             FROM name_basics WHERE deathYear - birthYear = 50""",
+    "M4": """SELECT primaryProfession AS containsMusic_Department, 0 AS chunk,
+                    list(primaryName ORDER BY primaryName, nconst) AS fullName
+             FROM name_basics WHERE contains(primaryProfession, 'music_dep') GROUP BY primaryProfession""",
+    "M6": """SELECT b.primaryTitle, b.startYear, r.numVotes,
+                    row_number() OVER (ORDER BY r.numVotes DESC, b.tconst) AS "top-20"
+             FROM title_basics b JOIN title_ratings r ON b.tconst = r.tconst
+             WHERE b.startYear = 2024 AND r.numVotes > 10000""",
+    "S1": """SELECT n.primaryName, x.film_count FROM (
+               SELECT nconst, count(DISTINCT tconst) AS film_count FROM title_principals
+               WHERE category = 'actor' AND tconst IN (SELECT tconst FROM title_basics WHERE titleType = 'movie')
+               GROUP BY nconst) x LEFT JOIN name_basics n ON x.nconst = n.nconst""",
+    "S2": """SELECT startYear, genre, count(*) AS count FROM (
+               SELECT startYear, unnest(string_split(genres, ',')) AS genre FROM title_basics WHERE titleType = 'movie')
+             GROUP BY startYear, genre""",
+    "S4": """SELECT b.primaryTitle, s.avg_rating, s.avg_votes, s.episode_count FROM (
+               SELECT e.parentTconst, avg(r.averageRating) AS avg_rating, avg(r.numVotes) AS avg_votes,
+                      count(*) AS episode_count
+               FROM title_episode e JOIN title_ratings r ON e.tconst = r.tconst
+               GROUP BY e.parentTconst HAVING avg(r.numVotes) > 1000) s
+             JOIN title_basics b ON s.parentTconst = b.tconst""",
+    "S5": """SELECT genre, primaryTitle, averageRating, numVotes, startYear FROM (
+               SELECT g.*, r.averageRating, r.numVotes,
+                      row_number() OVER (PARTITION BY g.genre ORDER BY r.averageRating DESC NULLS LAST, g.tconst) AS rn
+               FROM (SELECT tconst, primaryTitle, startYear, unnest(string_split(genres, ',')) AS genre
+                     FROM title_basics WHERE genres IS NOT NULL) g
+               JOIN title_ratings r ON g.tconst = r.tconst WHERE r.numVotes > 10000) WHERE rn <= 5""",
+    "S6": """WITH g AS (SELECT tconst, primaryTitle, startYear, runtimeMinutes, unnest(string_split(genres, ',')) AS genre
+                        FROM title_basics WHERE genres IS NOT NULL AND startYear IS NOT NULL AND startYear > 0),
+             f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY genre ORDER BY startYear, tconst) AS rn FROM g)
+                   WHERE rn = 1),
+             d AS (SELECT f.genre, f.primaryTitle, f.startYear, f.runtimeMinutes, x.director, n.primaryName
+                   FROM f JOIN (SELECT tconst, unnest(string_split(directors, ',')) AS director FROM title_crew) x
+                        ON f.tconst = x.tconst
+                   LEFT JOIN name_basics n ON x.director = n.nconst)
+             SELECT genre, primaryTitle, startYear, 0 AS chunk,
+                    coalesce(string_agg(primaryName, ', ' ORDER BY primaryName NULLS FIRST, director), '') AS directors
+             FROM d GROUP BY genre, primaryTitle, startYear, runtimeMinutes""",
+    "ST5": """SELECT genre, count(*) AS count FROM (
+               SELECT unnest(string_split(genres, ',')) AS genre FROM title_basics WHERE titleType = 'movie')
+             GROUP BY genre""",
+    "ST6": """SELECT CASE WHEN r.averageRating >= 1 AND r.averageRating < 2 THEN '1-2'
+                         WHEN r.averageRating >= 5 AND r.averageRating < 6 THEN '5-6'
+                         WHEN r.averageRating >= 8 AND r.averageRating < 9 THEN '8-9'
+                         WHEN r.averageRating >= 9 AND r.averageRating <= 10 THEN '9-10' END AS RatingRange,
+                    count(*) AS count
+             FROM title_ratings r WHERE r.tconst IN (SELECT tconst FROM title_basics WHERE titleType = 'movie')
+             GROUP BY 1""",
+}
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return round(v, 9) if not math.isnan(v) else "nan"
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if hasattr(v, "tolist"):
+        return _norm(v.tolist())
+    if v is pd.NA:
+        return None
+    return v
+
+
+def _multiset(rows):
+    return sorted((tuple(_norm(v) for v in r) for r in rows), key=repr)
+
+
+@pytest.fixture(scope="module", params=SEEDS)
+def generated(request, spark):
+    rows = make_rows(request.param)
+    return MovieCatalog.from_rows(spark, rows), duck_for(rows)
+
+
+@pytest.mark.parametrize("qid", sorted(SQL))
+def test_question_matches_sql(generated, qid):
+    cat, con = generated
+    df = q.QUESTIONS[qid](cat)
+    rel = con.execute(SQL[qid])
+    names = [d[0] for d in rel.description]
+    assert sorted(names) == sorted(df.columns), (names, df.columns)
+    want = _multiset(tuple(r[names.index(c)] for c in df.columns) for r in rel.fetchall())
+    got = _multiset(tuple(r) for r in df.collect())
+    assert got == want
