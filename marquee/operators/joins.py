@@ -64,11 +64,18 @@ def with_names(
     return out.drop("__name_key")
 
 
-def exists_in(df: DataFrame, other: DataFrame, left_on: str, right_on: str | None = None) -> DataFrame:
+def exists_in(
+    df: DataFrame, other: DataFrame, left_on: str, right_on: str | None = None, dedupe: bool = False
+) -> DataFrame:
     """Rows of ``df`` whose key appears in ``other`` (a semi join).
 
     Unlike an inner join it never multiplies rows and adds no columns.
+    ``dedupe=True`` first collapses ``other``'s keys (map-side), for a right
+    side that repeats keys: a hot key then reaches the join once per task
+    instead of once per row. Leave it off when the keys are already unique.
     """
     right_on = right_on or left_on
     keys = other.select(F.col(right_on).alias("__exists_key"))
+    if dedupe:
+        keys = keys.distinct()
     return df.join(keys, df[left_on] == keys["__exists_key"], "left_semi")

@@ -56,3 +56,14 @@ def test_count_through_collapses_hot_join_key(spark):
     assert sum(got.values()) == ROWS
     plan = count_through(fact, "k", dim, "k2", ["grp"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan  # the fact side is combined before it is shuffled
+
+
+def test_exists_in_dedupe_collapses_repeated_keys(spark):
+    from marquee.operators import exists_in
+
+    left = spark.range(100).select(F.col("id").alias("k"))
+    right = spark.range(ROWS).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)).alias("k2"))
+    plain = exists_in(left, right, "k", "k2")
+    deduped = exists_in(left, right, "k", "k2", dedupe=True)
+    assert sorted(r.k for r in plain.collect()) == sorted(r.k for r in deduped.collect()) == list(range(40))
+    assert "HashAggregate" in deduped._jdf.queryExecution().executedPlan().toString()
