@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,11 +72,16 @@ def number_rows(
     """
     keys = list(keys)
     sort_spec = [F.col(k).asc_nulls_first() for k in keys] + as_cols(order)
+    # The range sort first samples its input to choose bounds, then shuffles it:
+    # keep the input so an expensive upstream (a join) is computed once. A lost
+    # block is recomputed; the bounds are already fixed and the result is checkpointed.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
     staged = checkpoint(
-        df.orderBy(*sort_spec)
+        source.orderBy(*sort_spec)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
     )
+    source.unpersist()
 
     spans = staged.groupBy(_PID, *keys).agg(
         F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)
