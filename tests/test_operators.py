@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -128,7 +129,18 @@ def test_exact_mean_is_order_free(spark):
     assert ma == mb == 0.2
 
 
-def test_shuffle_join_branch_when_lookup_exceeds_bound(spark):
+@pytest.fixture
+def no_auto_broadcast(spark):
+    # isolate our own size check from Spark's automatic broadcast of small sides
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield spark
+    spark.conf.set(key, old)
+
+
+def test_shuffle_join_branch_when_lookup_exceeds_bound(no_auto_broadcast):
+    spark = no_auto_broadcast
     rows = [(i, ["a", "b", None][i % 3], i % 7) for i in range(60)]
     df = spark.createDataFrame(rows, KEYED).repartition(4)
     small = {r["id"]: r["rn"] for r in number_rows(df, ["v", "id"], keys=["g"], name="rn").collect()}
