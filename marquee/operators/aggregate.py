@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.util import as_col
+from marquee.operators.explode import explode_list
 
 
 def count_by(
@@ -41,6 +42,7 @@ def count_through(
     group_keys: Sequence[str],
     name: str = "count",
     fact_group: Sequence[str] = (),
+    explode: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """``count(*)`` of ``fact JOIN dim`` per ``group_keys``, pre-aggregated.
 
@@ -48,11 +50,18 @@ def count_through(
     with its row count, the join then runs on that, and the counts are summed
     per group. Same result as counting the joined rows, but the large side is
     collapsed map-side before any shuffle, and a hot join key is one row.
+
+    ``explode=(list_column, out, sep)`` counts per element of a delimited list
+    on the ``dim`` side (e.g. per genre). The list is exploded after the join,
+    so the join ships one row per ``dim`` key rather than one per element.
     """
     pre = fact.groupBy(F.col(fact_key).alias("__fk"), *[F.col(c) for c in fact_group]).agg(
         F.count(F.lit(1)).alias("__n")
     )
     joined = pre.join(dim, pre["__fk"] == dim[dim_key])
+    if explode is not None:
+        col, out, sep = explode
+        joined = explode_list(joined, col, out, sep=sep)
     return joined.groupBy(*group_keys).agg(F.sum("__n").alias(name))
 
 

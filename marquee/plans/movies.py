@@ -82,8 +82,8 @@ def _movies(cat: MovieCatalog) -> DataFrame:
 def a1_german_region_genres(cat: MovieCatalog, region: str = REGION) -> DataFrame:
     """(aka row in ``region`` x genre of its title) pairs per genre."""
     akas = cat.title_akas.filter(F.col("region") == region).select("titleId")
-    genres = explode_list(cat.title_basics.select("tconst", "genres"), "genres", "genre", keep=["tconst"])
-    return count_through(akas, "titleId", genres, "tconst", ["genre"], name="count")
+    titles = cat.title_basics.select("tconst", "genres")
+    return count_through(akas, "titleId", titles, "tconst", ["genre"], name="count", explode=("genres", "genre", ","))
 
 
 def a2_german_movies_from_year(
@@ -380,10 +380,11 @@ def s4_top_series(cat: MovieCatalog, min_avg_votes: float = SERIES_MIN_AVG_VOTES
 
 
 def s5_top5_per_genre(cat: MovieCatalog, min_votes: int = POPULAR_VOTES, n: int = TOP_PER_GENRE) -> DataFrame:
-    genres = _genres(cat.title_basics.select("tconst", "primaryTitle", "startYear", "genres"),
-                     ["tconst", "primaryTitle", "startYear"])
-    rated = genres.join(cat.title_ratings.filter(F.col("numVotes") > min_votes), "tconst")
-    top = top_n_per_group(rated, ["genre"], [F.col("averageRating").desc(), F.col("tconst").asc()], n)
+    # join first, explode after: the join ships one row per title, not per genre
+    titles = cat.title_basics.select("tconst", "primaryTitle", "startYear", "genres")
+    rated = titles.join(cat.title_ratings.filter(F.col("numVotes") > min_votes), "tconst")
+    genres = _genres(rated, ["tconst", "primaryTitle", "startYear", "averageRating", "numVotes"])
+    top = top_n_per_group(genres, ["genre"], [F.col("averageRating").desc(), F.col("tconst").asc()], n)
     return top.select("genre", "primaryTitle", "averageRating", "numVotes", "startYear")
 
 

@@ -79,8 +79,8 @@ def a1_word_pairs(spark: SparkSession, sf_dir: str, flag: str = RETURN_FLAG) ->
     """(flagged line item x word of its part) pairs per word."""
     t = StarTables(spark, sf_dir)
     lines = t.lineitem.filter(F.col("l_returnflag") == flag).select("l_partkey")
-    words = _words(t.part.select("p_partkey", "p_name"), ["p_partkey"])
-    return count_through(lines, "l_partkey", words, "p_partkey", ["word"], name="count")
+    parts = t.part.select("p_partkey", "p_name")
+    return count_through(lines, "l_partkey", parts, "p_partkey", ["word"], name="count", explode=("p_name", "word", " "))
 
 
 def a2_standard_parts_shipped_from(
@@ -353,8 +353,10 @@ def s2_lines_per_year_and_word(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items per (ship year, word of a STANDARD part's name); year then count descending."""
     t = StarTables(spark, sf_dir)
     lines = t.lineitem.select("l_partkey", year_of("l_shipdate").alias("ship_year"))
-    words = _words(t.part.filter(F.col("p_type") == MOVIE_TYPE).select("p_partkey", "p_name"), ["p_partkey"])
-    counts = count_through(lines, "l_partkey", words, "p_partkey", ["ship_year", "word"], fact_group=["ship_year"])
+    parts = t.part.filter(F.col("p_type") == MOVIE_TYPE).select("p_partkey", "p_name")
+    counts = count_through(
+        lines, "l_partkey", parts, "p_partkey", ["ship_year", "word"], fact_group=["ship_year"], explode=("p_name", "word", " ")
+    )
     return counts.orderBy(F.col("ship_year").desc(), F.col("count").desc(), "word")
 
 
