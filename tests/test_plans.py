@@ -60,3 +60,22 @@ def test_scan_reads_only_needed_columns(spark):
 def test_fixed_dimension_is_broadcast(spark):
     plan = formatted(star.s3_customers_per_nation(spark, SF01))
     assert "BroadcastHashJoin" in plan
+
+
+def _check_shape(df, name):
+    plan = formatted(df)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert node not in plan, f"{name}: {node}"
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+    tree = plan_of(df).splitlines()
+    for i, line in enumerate(tree):
+        if "Exchange SinglePartition" in line:
+            child = tree[i + 1]
+            assert "partial_" in child or "__pid" in child, f"{name}: a single task would take every row"
+
+
+def test_catalog_questions_plan_shapes(catalog):
+    from marquee.plans import movies
+
+    for name, fn in movies.QUESTIONS.items():
+        _check_shape(fn(catalog), name)
