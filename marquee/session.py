@@ -24,21 +24,29 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with AQE on, the UI off and sensible shuffle sizing."""
-    cpus = os.environ.get("BENCH_CPUS")
-    master = master or f"local[{cpus or '*'}]"
+    """A session with AQE on, the UI off and sensible shuffle sizing.
+
+    ``master`` is set only when given: under ``spark-submit`` the cluster's
+    master and resources apply (a plain ``python`` run defaults to local).
+    Driver memory is only set for an explicit local master, where the driver
+    is the whole cluster.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "4g"))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        .config("spark.driver.memory", os.environ.get("MARQUEE_DRIVER_MEMORY", "4g"))
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -93,7 +93,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = argv[1:] or list(registry.QUERIES)
-    spark = build_session()
+    spark = build_session(master="local[*]", shuffle_partitions=8)
     con = duck(sf_dir)
     sql = registry.oracle_sql()
     bad = 0
