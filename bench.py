@@ -35,25 +35,28 @@ def main() -> None:
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2))
     spark = build_session(master=f"local[{cpus}]", app_name="marquee-bench", shuffle_partitions=partitions)
     names = only or list(registry.QUERIES)
-    timings = {}
+    timings, errors = {}, {}
     for name in names:
         fn = registry.QUERIES[name]
-        run_once(spark, fn, sf_dir)  # warm-up: JIT, file listing, metadata
-        timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 4)
+        try:
+            run_once(spark, fn, sf_dir)  # warm-up: JIT, file listing, metadata
+            timings[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(runs)), 4)
+        except Exception as exc:  # keep timing the others; report the failure
+            timings[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
-    print(
-        json.dumps(
-            {
-                "metric": "total_query_sec",
-                "value": round(sum(timings.values()), 4),
-                "unit": "sec",
-                "queries": timings,
-                "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                "cpus": cpus,
-                "runs": runs,
-            }
-        )
-    )
+    result = {
+        "metric": "total_query_sec",
+        "value": round(sum(v for v in timings.values() if v is not None), 4),
+        "unit": "sec",
+        "queries": timings,
+        "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        "cpus": cpus,
+        "runs": runs,
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
