@@ -2,7 +2,7 @@
 the star-schema test tables and CSV export."""
 
 from marquee.sources.catalog import MovieCatalog, read_tables
-from marquee.sources.readers import TSV_OPTIONS, read_parquet, read_tsv
+from marquee.sources.readers import TSV_OPTIONS, read_parquet, read_tsv, reject_count, rejected_rows
 from marquee.sources.sinks import csv_ready, export_csv
 from marquee.sources.star import STAR_TABLES, StarTables
 
@@ -12,6 +12,8 @@ __all__ = [
     "TSV_OPTIONS",
     "read_parquet",
     "read_tsv",
+    "reject_count",
+    "rejected_rows",
     "csv_ready",
     "export_csv",
     "STAR_TABLES",

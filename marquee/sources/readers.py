@@ -12,6 +12,7 @@ the raw line of such rows for auditing; the column is appended to the schema.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Reader options for the tab-separated dumps.
@@ -45,3 +46,20 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     if schema is None:
         return df
     return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def rejected_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
+    """Rows of a ``read_tsv(..., corrupt_column=...)`` frame that did not parse.
+
+    The CSV reader only parses the columns a query uses, so a row is only
+    known to be malformed when every declared column is parsed; the filter
+    therefore references all of them (Spark also refuses queries that use the
+    corrupt-record column alone).
+    """
+    data = [c for c in df.columns if c != corrupt_column]
+    return df.filter(F.col(corrupt_column).isNotNull() & F.struct(*data).isNotNull())
+
+
+def reject_count(df: DataFrame, corrupt_column: str) -> DataFrame:
+    """The number of malformed rows as a one-row DataFrame (column ``rejected``)."""
+    return rejected_rows(df, corrupt_column).groupBy().agg(F.count(F.lit(1)).alias("rejected"))

@@ -69,3 +69,11 @@ def test_catalog_from_tsv(spark):
     assert rows[1]["averageRating"] is None
     for table, schema in SCHEMAS.items():
         assert cat.tables()[table].schema == schema
+
+
+def test_rejected_rows_parse_every_column(spark):
+    from marquee.sources import reject_count, rejected_rows
+
+    df = read_tsv(spark, _write(LINES), SCHEMA, corrupt_column="_corrupt")
+    assert [r["tconst"] for r in rejected_rows(df, "_corrupt").collect()] == ["tt4"]
+    assert reject_count(df, "_corrupt").first()["rejected"] == 1
