@@ -49,17 +49,22 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 
 
 def rejected_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
-    """Rows of a ``read_tsv(..., corrupt_column=...)`` frame that did not parse.
+    """Rows of a ``read_tsv(..., corrupt_column=...)`` frame that did not parse,
+    with every column. Count them with ``reject_count``.
 
-    The CSV reader only parses the columns a query uses, so a row is only
-    known to be malformed when every declared column is parsed; the filter
-    therefore references all of them (Spark also refuses queries that use the
-    corrupt-record column alone).
+    The CSV reader parses only the columns a query uses, so a row is known to
+    be malformed only when every declared column is parsed (Spark also refuses
+    queries that use the corrupt-record column alone).
     """
-    data = [c for c in df.columns if c != corrupt_column]
-    return df.filter(F.col(corrupt_column).isNotNull() & F.struct(*data).isNotNull())
+    return df.filter(F.col(corrupt_column).isNotNull())
 
 
 def reject_count(df: DataFrame, corrupt_column: str) -> DataFrame:
-    """The number of malformed rows as a one-row DataFrame (column ``rejected``)."""
-    return rejected_rows(df, corrupt_column).groupBy().agg(F.count(F.lit(1)).alias("rejected"))
+    """The number of malformed rows as a one-row DataFrame (column ``rejected``).
+
+    Counting ``when(corrupt IS NOT NULL, struct(all data columns))`` makes the
+    scan parse every declared column, which is what flags a row as malformed.
+    """
+    data = [c for c in df.columns if c != corrupt_column]
+    flagged = F.when(F.col(corrupt_column).isNotNull(), F.struct(*data))
+    return df.groupBy().agg(F.count(flagged).alias("rejected"))
