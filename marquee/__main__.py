@@ -5,6 +5,7 @@
     python -m marquee preview --dumps DIR [--rows 5]
     python -m marquee export --dumps DIR --out DIR
     python -m marquee convert --dumps DIR --out DIR   (dumps -> Parquet, once)
+    python -m marquee audit --dumps DIR                (rows and unparsable rows per dump)
 
 ``--dumps`` reads the seven tab-separated dumps; ``--parquet`` reads
 ``<table>.parquet`` directories instead. Results are shown with ``show`` (only
@@ -19,6 +20,7 @@ import sys
 from marquee.plans import movies
 from marquee.session import build_session
 from marquee.sources.catalog import MovieCatalog
+from marquee.sources.readers import reject_count
 
 STATISTICS = ("ST1", "ST2", "ST3", "ST4", "ST5", "ST6")
 
@@ -43,7 +45,7 @@ def _show(name: str, df, rows: int, count: bool) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marquee")
-    parser.add_argument("command", choices=["questions", "statistics", "preview", "export", "convert"])
+    parser.add_argument("command", choices=["questions", "statistics", "preview", "export", "convert", "audit"])
     parser.add_argument("ids", nargs="*", help="question IDs (default: all)")
     src = parser.add_mutually_exclusive_group(required=True)
     src.add_argument("--dumps", help="folder with the seven .tsv dumps")
@@ -68,6 +70,13 @@ def main(argv: list[str] | None = None) -> int:
         for name, df in movies.p1_previews(cat, args.rows or 5).items():
             print(f"---- {name}")
             df.show(truncate=False)
+    elif args.command == "audit":
+        if not args.dumps:
+            parser.error("audit reads the tab-separated dumps (--dumps)")
+        raw = MovieCatalog.from_tsv(spark, args.dumps, corrupt_column="_corrupt_record")
+        for name, df in raw.tables().items():
+            rejected = reject_count(df, "_corrupt_record").first()["rejected"]
+            print(f"{name}: rows {df.count()}, rejected {rejected}")
     elif args.command == "convert":
         if not args.out:
             parser.error("convert needs --out")

@@ -30,11 +30,24 @@ class MovieCatalog:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
     @classmethod
-    def from_tsv(cls, spark: SparkSession, root: str, file_names: dict[str, str] | None = None) -> MovieCatalog:
-        """Read the seven tab-separated dumps found under ``root``."""
+    def from_tsv(
+        cls,
+        spark: SparkSession,
+        root: str,
+        file_names: dict[str, str] | None = None,
+        corrupt_column: str | None = None,
+    ) -> MovieCatalog:
+        """Read the seven tab-separated dumps found under ``root``.
+
+        ``corrupt_column`` appends a column holding the raw line of rows that
+        did not parse (see ``readers.reject_count``).
+        """
         names = file_names or FILE_NAMES
         return cls(
-            **{t: read_tsv(spark, os.path.join(root, names[t]), schema) for t, schema in SCHEMAS.items()}
+            **{
+                t: read_tsv(spark, os.path.join(root, names[t]), schema, corrupt_column=corrupt_column)
+                for t, schema in SCHEMAS.items()
+            }
         )
 
     @classmethod

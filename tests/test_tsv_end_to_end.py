@@ -67,3 +67,19 @@ def test_read_tables(spark, dumps):
     assert cat.title_basics.count() == len(ROWS["title_basics"])
     with pytest.raises(ValueError):
         read_tables(spark, dumps, "xml")
+
+
+def test_audit_counts_unparsable_rows(dumps):
+    d = tempfile.mkdtemp(prefix="marquee-dumps-bad-")
+    for name in os.listdir(dumps):
+        with open(os.path.join(dumps, name), encoding="utf-8") as src, open(os.path.join(d, name), "w", encoding="utf-8") as dst:
+            dst.write(src.read())
+    with open(os.path.join(d, FILE_NAMES["title_ratings"]), "a", encoding="utf-8") as f:
+        f.write("tt77\tnot-a-number\t10\n")
+    out = subprocess.run(
+        [sys.executable, "-m", "marquee", "audit", "--dumps", d, "--master", "local[2]"],
+        cwd=REPO, capture_output=True, text=True, timeout=300,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert f"title_ratings: rows {len(ROWS['title_ratings']) + 1}, rejected 1" in out.stdout
+    assert f"title_basics: rows {len(ROWS['title_basics'])}, rejected 0" in out.stdout
