@@ -78,7 +78,7 @@ def duck_for(rows: dict[str, list[tuple]]) -> duckdb.DuckDBPyConnection:
     return con
 
 
-# The questions whose semantics are easiest to get subtly wrong, as SQL.
+# Every question, as SQL.
 SQL = {
     "A1": """SELECT g.genre, count(*) AS count FROM title_akas a
              JOIN (SELECT tconst, unnest(string_split(genres, ',')) AS genre FROM title_basics) g ON a.titleId = g.tconst
@@ -135,6 +135,8 @@ SQL = {
     "M4": """SELECT primaryProfession AS containsMusic_Department, 0 AS chunk,
                     list(primaryName ORDER BY primaryName, nconst) AS fullName
              FROM name_basics WHERE contains(primaryProfession, 'music_dep') GROUP BY primaryProfession""",
+    "M5": """SELECT language, count(*) AS original_title_count FROM title_akas
+             WHERE title IS NOT NULL AND region IS NOT NULL AND language IS NOT NULL GROUP BY language""",
     "M6": """SELECT b.primaryTitle, b.startYear, r.numVotes,
                     row_number() OVER (ORDER BY r.numVotes DESC, b.tconst) AS "top-20"
              FROM title_basics b JOIN title_ratings r ON b.tconst = r.tconst
@@ -169,6 +171,42 @@ SQL = {
              SELECT genre, primaryTitle, startYear, 0 AS chunk,
                     coalesce(string_agg(primaryName, ', ' ORDER BY primaryName NULLS FIRST, director), '') AS directors
              FROM d GROUP BY genre, primaryTitle, startYear, runtimeMinutes""",
+    "A2": """SELECT b.tconst, a.title, a.region, a.language, b.startYear AS year, b.genres
+             FROM title_basics b JOIN title_akas a ON b.tconst = a.titleId
+             WHERE b.titleType = 'movie' AND a.language = 'de' AND a.region = 'DE' AND b.startYear >= 2010""",
+    "A6": """SELECT b.tconst, b.primaryTitle AS title, b.startYear AS releaseYear, b.genres, c.directors, c.writers,
+                    n.primaryName AS authorName
+             FROM title_crew c JOIN name_basics n ON n.nconst = c.writers JOIN title_basics b ON b.tconst = c.tconst
+             WHERE c.writers IS NOT NULL AND c.directors = c.writers""",
+    "A7": """SELECT titleType, avg(runtimeMinutes) AS averageRuntime FROM title_basics
+             WHERE runtimeMinutes IS NOT NULL GROUP BY titleType""",
+    "I2": """SELECT n.primaryName, b.primaryTitle, b.startYear, CAST(b.startYear - n.birthYear AS INTEGER) AS actor_age_on_shooting,
+                    n.primaryProfession
+             FROM title_crew c JOIN title_basics b ON c.tconst = b.tconst JOIN name_basics n ON c.directors = n.nconst
+             WHERE b.startYear - n.birthYear < 18 AND b.startYear - n.birthYear >= 0
+               AND (contains(n.primaryProfession, 'actor') OR contains(n.primaryProfession, 'actress'))""",
+    "I3": """SELECT b.primaryTitle, x.episode_count FROM (
+               SELECT parentTconst, count(*) AS episode_count FROM title_episode
+               WHERE tconst IN (SELECT tconst FROM title_basics WHERE titleType = 'tvEpisode')
+               GROUP BY parentTconst HAVING count(*) > 100) x
+             LEFT JOIN title_basics b ON x.parentTconst = b.tconst""",
+    "I4": """SELECT primaryName, CAST(2025 - birthYear AS INTEGER) AS age, primaryProfession FROM name_basics
+             WHERE deathYear IS NULL AND birthYear IS NOT NULL AND 2025 - birthYear > 90
+               AND (contains(primaryProfession, 'actor') OR contains(primaryProfession, 'actress'))""",
+    "S3": """SELECT region, count(DISTINCT titleId) AS unique_titles FROM title_akas
+             WHERE region IS NOT NULL GROUP BY region""",
+    "ST1": """SELECT 'name_basics' AS table_name, count(*) AS row_count FROM name_basics
+              UNION ALL SELECT 'title_akas', count(*) FROM title_akas
+              UNION ALL SELECT 'title_basics', count(*) FROM title_basics
+              UNION ALL SELECT 'title_crew', count(*) FROM title_crew
+              UNION ALL SELECT 'title_episode', count(*) FROM title_episode
+              UNION ALL SELECT 'title_principals', count(*) FROM title_principals
+              UNION ALL SELECT 'title_ratings', count(*) FROM title_ratings""",
+    "ST2": """SELECT birthYear, count(*) AS count FROM name_basics
+              WHERE birthYear IS NOT NULL AND birthYear >= 1800 GROUP BY birthYear""",
+    "ST3": """SELECT startYear, count(*) AS count FROM title_basics
+              WHERE startYear IS NOT NULL AND startYear >= 1800 GROUP BY startYear""",
+    "ST4": """SELECT count(*) AS n FROM title_basics WHERE titleType = 'movie'""",
     "ST5": """SELECT genre, count(*) AS count FROM (
                SELECT unnest(string_split(genres, ',')) AS genre FROM title_basics WHERE titleType = 'movie')
              GROUP BY genre""",
@@ -204,6 +242,14 @@ def generated(request, spark):
     return MovieCatalog.from_rows(spark, rows), duck_for(rows)
 
 
+def test_long_series_low_threshold_matches_sql(generated):
+    cat, con = generated
+    sql = SQL["I3"].replace("> 100", "> 1")
+    want = _multiset(con.execute(sql).fetchall())
+    got = _multiset(tuple(r) for r in q.i3_long_series(cat, 1).collect())
+    assert got == want and len(want) > 0
+
+
 @pytest.mark.parametrize("qid", sorted(SQL))
 def test_question_matches_sql(generated, qid):
     cat, con = generated
@@ -214,3 +260,7 @@ def test_question_matches_sql(generated, qid):
     want = _multiset(tuple(r[names.index(c)] for c in df.columns) for r in rel.fetchall())
     got = _multiset(tuple(r) for r in df.collect())
     assert got == want
+
+
+def test_every_question_has_sql():
+    assert sorted(SQL) == sorted(q.QUESTIONS)
