@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.temporal import days_between
 from marquee.functions.util import as_col
 
 
@@ -23,7 +24,7 @@ def year_span(
     dates or timestamps and the span is in whole days. Rows where either side
     is NULL have a NULL span and are dropped whenever a bound is given.
     """
-    span = F.datediff(as_col(end), as_col(start)) if days else (as_col(end) - as_col(start)).cast("int")
+    span = days_between(start, end) if days else (as_col(end) - as_col(start)).cast("int")
     out = df.withColumn(name, span)
     if lo is not None:
         out = out.filter(F.col(name) >= lo)
