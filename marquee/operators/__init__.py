@@ -3,7 +3,7 @@
 from marquee.operators.aggregate import count_by, count_through, max_by_group, mean_by, row_count, table_counts
 from marquee.operators.explode import explode_list
 from marquee.operators.groups import DEFAULT_CHUNK_ROWS, above_group_mean, group_list
-from marquee.operators.joins import broadcast_if_small, exists_in, keys_equal, with_names
+from marquee.operators.joins import broadcast_if_small, exists_in, with_names
 from marquee.operators.preview import preview
 from marquee.operators.ranking import first_per_group, number_rows, top_n_per_group
 from marquee.operators.spans import year_span
@@ -21,7 +21,6 @@ __all__ = [
     "group_list",
     "broadcast_if_small",
     "exists_in",
-    "keys_equal",
     "with_names",
     "preview",
     "first_per_group",

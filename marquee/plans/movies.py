@@ -30,6 +30,7 @@ from marquee.operators import (
     first_per_group,
     group_list,
     max_by_group,
+    mean_by,
     number_rows,
     preview,
     row_count,
@@ -130,8 +131,10 @@ def a3_writers_with_avg_rating_from(
     )
     joined = rated.join(writers.select("tconst", "writer", F.col("__person").alias("nconst")), "tconst")
     keys = ["nconst", "writer"] if by_id else ["writer"]
-    means = joined.groupBy(*keys).agg(F.avg("averageRating").alias("avgWriterRating"))
-    return means.filter(F.col("avgWriterRating") >= border_rating).orderBy("avgWriterRating", *keys)
+    means = mean_by(
+        joined, keys, {"avgWriterRating": "averageRating"}, having=F.col("avgWriterRating") >= border_rating
+    )
+    return means.orderBy("avgWriterRating", *keys)
 
 
 def a4_countries_longest_series(cat: MovieCatalog) -> DataFrame:
@@ -175,7 +178,7 @@ def a6_titles_with_same_director_writer(cat: MovieCatalog) -> DataFrame:
 
 def a7_avg_title_type_runtime(cat: MovieCatalog) -> DataFrame:
     titles = cat.title_basics.filter(F.col("runtimeMinutes").isNotNull())
-    return titles.groupBy("titleType").agg(F.avg("runtimeMinutes").alias("averageRuntime"))
+    return mean_by(titles, ["titleType"], {"averageRuntime": "runtimeMinutes"})
 
 
 # ----------------------------------------------------------------- I1..I7
@@ -368,11 +371,10 @@ def s3_top_regions(cat: MovieCatalog) -> DataFrame:
 
 def s4_top_series(cat: MovieCatalog, min_avg_votes: float = SERIES_MIN_AVG_VOTES) -> DataFrame:
     rated = cat.title_episode.select("tconst", "parentTconst").join(cat.title_ratings, "tconst")
-    stats = rated.groupBy("parentTconst").agg(
-        F.avg("averageRating").alias("avg_rating"),
-        F.avg("numVotes").alias("avg_votes"),
-        F.count(F.lit(1)).alias("episode_count"),
-    ).filter(F.col("avg_votes") > min_avg_votes)
+    stats = mean_by(
+        rated, ["parentTconst"], {"avg_rating": "averageRating", "avg_votes": "numVotes"},
+        count_name="episode_count", having=F.col("avg_votes") > min_avg_votes,
+    )
     out = stats.join(cat.title_basics.select("tconst", "primaryTitle"), stats["parentTconst"] == F.col("tconst"))
     return out.orderBy(F.col("avg_rating").desc(), "parentTconst").select(
         "primaryTitle", "avg_rating", "avg_votes", "episode_count"

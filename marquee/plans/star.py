@@ -44,6 +44,7 @@ from marquee.operators import (
     first_per_group,
     group_list,
     max_by_group,
+    mean_by,
     number_rows,
     preview,
     row_count,
@@ -170,7 +171,7 @@ def a7_mean_size_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean non-NULL ``p_size`` per ``p_type``."""
     t = StarTables(spark, sf_dir)
     parts = t.part.filter(F.col("p_size").isNotNull())
-    return parts.groupBy("p_type").agg(F.avg("p_size").alias("avg_size"))
+    return mean_by(parts, ["p_type"], {"avg_size": "p_size"})
 
 
 # --------------------------------------------------------------------- I*
