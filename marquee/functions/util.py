@@ -16,11 +16,3 @@ def as_cols(cs: Iterable[Column | str] | Column | str | None) -> list[Column]:
     if isinstance(cs, (str, Column)):
         return [as_col(cs)]
     return [as_col(c) for c in cs]
-
-
-def names(cs: Iterable[str] | str | None) -> list[str]:
-    if cs is None:
-        return []
-    if isinstance(cs, str):
-        return [cs]
-    return list(cs)
