@@ -14,6 +14,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import is_remote
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -78,6 +79,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Eagerly write ``df`` to the reliable checkpoint folder and read it back."""
-    checkpoint_dir(df.sparkSession)
+    """Eagerly write ``df`` to the reliable checkpoint folder and read it back.
+
+    Under Spark Connect the server owns the checkpoint folder (there is no
+    client-side context to configure), so the client only asks for it.
+    """
+    if not is_remote():
+        checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
