@@ -64,13 +64,24 @@ def number_rows(
     keys: Sequence[str] = (),
     name: str = "row_number",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """Append ``name`` (BIGINT): 1, 2, ... in ``order`` within each ``keys`` group.
 
     Same values as ``row_number() OVER (PARTITION BY keys ORDER BY order)``
     when ``order`` is total; computed without a single-task window.
+
+    ``limit=N`` keeps only numbers 1..N (a top-N report): per group this is a
+    partial top-N; globally ``orderBy().limit(N)`` keeps N rows per task and
+    only those N rows are numbered together.
     """
     keys = list(keys)
+    if limit is not None:
+        if keys:
+            ranked = top_n_per_group(df, keys, order, limit, rank_name="__rank")
+            return ranked.withColumn(name, F.col("__rank").cast("bigint")).drop("__rank")
+        top = df.orderBy(*as_cols(order)).limit(limit)
+        return top.withColumn(name, F.row_number().over(Window.orderBy(*as_cols(order))).cast("bigint"))
     sort_spec = [F.col(k).asc_nulls_first() for k in keys] + as_cols(order)
     # The range sort first samples its input to choose bounds, then shuffles it:
     # keep the input so an expensive upstream (a join) is computed once. A lost

@@ -210,3 +210,8 @@ def test_options_explode_crew_lists(catalog):
     assert rows(q.i2_minor_actor_directors(catalog, explode=True), "primaryName", "primaryTitle") == [
         ("Ann Lee", "Delta"), ("Dee Fox", "Theta"),
     ]
+
+
+def test_m6_top_n(catalog):
+    got = sorted(rows(q.m6_popular_titles_of_year(catalog, 2024, top=2), "top-20", "primaryTitle"))
+    assert got == [(1, "Iota"), (2, "Alpha")]

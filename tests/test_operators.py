@@ -172,3 +172,15 @@ def test_year_helpers_on_date_ntz_and_ltz_columns(spark):
         assert sorted(r.id for r in df.filter(in_year(c, 2000)).collect()) == [2, 3], c
         assert sorted(r.id for r in df.filter(year_at_least(c, 2000)).collect()) == [2, 3, 4], c
         assert sorted(r.id for r in df.filter(year_below(c, 2000)).collect()) == [1], c
+
+
+@SETTINGS
+@given(rows=keyed_rows, n=st.integers(1, 4))
+def test_number_rows_with_limit_is_a_prefix(spark, rows, n):
+    df = spark.createDataFrame(rows, KEYED).repartition(3)
+    full = {(r["id"], r["rn"]) for r in number_rows(df, [F.col("v").desc(), F.col("id").asc()], keys=["g"], name="rn").collect()}
+    cut = {(r["id"], r["rn"]) for r in number_rows(df, [F.col("v").desc(), F.col("id").asc()], keys=["g"], name="rn", limit=n).collect()}
+    assert cut == {(i, k) for i, k in full if k <= n}
+    gfull = {(r["id"], r["rn"]) for r in number_rows(df, ["v", "id"], name="rn").collect()}
+    gcut = {(r["id"], r["rn"]) for r in number_rows(df, ["v", "id"], name="rn", limit=n).collect()}
+    assert gcut == {(i, k) for i, k in gfull if k <= n}
