@@ -24,10 +24,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     offsets). The frame is persisted so the counting job is not repeated
     when the join runs; lost blocks are recomputed from lineage.
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ours = not df.is_cached  # never drop a cache the caller made
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if ours else df
     if cached.count() <= max_rows:
         return F.broadcast(cached)
-    cached.unpersist()  # too big to broadcast: do not pin it; the join shuffles instead
+    if ours:
+        cached.unpersist()  # too big to broadcast: do not pin it; the join shuffles instead
     return df
 
 

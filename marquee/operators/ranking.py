@@ -86,13 +86,15 @@ def number_rows(
     # The range sort first samples its input to choose bounds, then shuffles it:
     # keep the input so an expensive upstream (a join) is computed once. A lost
     # block is recomputed; the bounds are already fixed and the result is checkpointed.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ours = not df.is_cached  # never drop a cache the caller made
+    source = df.persist(StorageLevel.MEMORY_AND_DISK) if ours else df
     staged = checkpoint(
         source.orderBy(*sort_spec)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
     )
-    source.unpersist()
+    if ours:
+        source.unpersist()
 
     spans = staged.groupBy(_PID, *keys).agg(
         F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)

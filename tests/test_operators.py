@@ -184,3 +184,14 @@ def test_number_rows_with_limit_is_a_prefix(spark, rows, n):
     gfull = {(r["id"], r["rn"]) for r in number_rows(df, ["v", "id"], name="rn").collect()}
     gcut = {(r["id"], r["rn"]) for r in number_rows(df, ["v", "id"], name="rn", limit=n).collect()}
     assert gcut == {(i, k) for i, k in gfull if k <= n}
+
+
+def test_operators_keep_the_callers_cache(spark):
+    from marquee.operators import broadcast_if_small
+
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), "id").persist()
+    df.count()
+    number_rows(df, ["id"], keys=["g"]).count()
+    broadcast_if_small(df, max_rows=0)
+    assert df.is_cached
+    df.unpersist()
