@@ -83,3 +83,15 @@ def test_audit_counts_unparsable_rows(dumps):
     assert out.returncode == 0, out.stderr[-2000:]
     assert f"title_ratings: rows {len(ROWS['title_ratings']) + 1}, rejected 1" in out.stdout
     assert f"title_basics: rows {len(ROWS['title_basics'])}, rejected 0" in out.stdout
+
+
+def test_parquet_layout_sorted_for_row_group_pruning(spark, dumps):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    out = tempfile.mkdtemp(prefix="marquee-parquet-")
+    MovieCatalog.from_tsv(spark, dumps).write_parquet(out)
+    for f in glob.glob(os.path.join(out, "title_basics.parquet", "*.parquet")):
+        types = pq.read_table(f, columns=["titleType"]).column("titleType").to_pylist()
+        assert types == sorted(types, key=lambda t: (t is not None, t))  # NULLs first, then ascending
