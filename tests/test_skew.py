@@ -67,3 +67,14 @@ def test_exists_in_dedupe_collapses_repeated_keys(spark):
     deduped = exists_in(left, right, "k", "k2", dedupe=True)
     assert sorted(r.k for r in plain.collect()) == sorted(r.k for r in deduped.collect()) == list(range(40))
     assert "HashAggregate" in deduped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_above_group_mean_never_shuffles_the_rows(spark):
+    from marquee.operators import above_group_mean
+
+    df = _skewed(spark).withColumn("price", (F.col("v") / 100.0))
+    out = above_group_mean(df, ["g"], "price", exact_scale=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    rows_path = plan.split("InMemoryRelation")[0]  # everything above the cached statistics
+    assert "BroadcastHashJoin" in rows_path
+    assert "Exchange hashpartitioning" not in rows_path  # only the small statistics were shuffled
