@@ -7,8 +7,8 @@
     python -m marquee convert --dumps DIR --out DIR   (dumps -> Parquet, once)
     python -m marquee audit --dumps DIR                (rows and unparsable rows per dump)
 
-``--dumps`` reads the seven tab-separated dumps; ``--parquet`` reads
-``<table>.parquet`` directories instead. Results are shown with ``show`` (only
+``--dumps`` reads the seven tab-separated dumps (default: the current folder);
+``--parquet`` reads ``<table>.parquet`` directories instead. Results are shown with ``show`` (only
 the first rows reach the driver) followed by a row-count job.
 """
 
@@ -47,14 +47,16 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marquee")
     parser.add_argument("command", choices=["questions", "statistics", "preview", "export", "convert", "audit"])
     parser.add_argument("ids", nargs="*", help="question IDs (default: all)")
-    src = parser.add_mutually_exclusive_group(required=True)
-    src.add_argument("--dumps", help="folder with the seven .tsv dumps")
+    src = parser.add_mutually_exclusive_group()
+    src.add_argument("--dumps", help="folder with the seven .tsv dumps (default: the current folder)")
     src.add_argument("--parquet", help="folder with <table>.parquet")
     parser.add_argument("--out", help="output folder for export")
     parser.add_argument("--rows", type=int, default=None)
     parser.add_argument("--no-count", action="store_true")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
+    if not args.parquet and not args.dumps:
+        args.dumps = "."  # the dumps next to where the command runs, like the original scripts
 
     spark = build_session(master=args.master)
     cat = _catalog(spark, args)

@@ -95,3 +95,12 @@ def test_parquet_layout_sorted_for_row_group_pruning(spark, dumps):
     for f in glob.glob(os.path.join(out, "title_basics.parquet", "*.parquet")):
         types = pq.read_table(f, columns=["titleType"]).column("titleType").to_pylist()
         assert types == sorted(types, key=lambda t: (t is not None, t))  # NULLs first, then ascending
+
+
+def test_command_line_reads_the_current_folder_by_default(dumps):
+    out = subprocess.run(
+        [sys.executable, "-m", "marquee", "statistics", "ST4", "--master", "local[2]"],
+        cwd=dumps, env=dict(os.environ, PYTHONPATH=REPO), capture_output=True, text=True, timeout=300,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "---- ST4" in out.stdout
