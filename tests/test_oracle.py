@@ -27,11 +27,13 @@ def test_matches_oracle(spark, con, name):
 
 @pytest.fixture
 def other_layout(spark):
-    """Another physical layout: AQE off, 3 shuffle partitions, no automatic broadcast."""
+    """Another physical layout: AQE off, 3 shuffle partitions, no automatic
+    broadcast, and ANSI mode off (legacy NULL and overflow semantics)."""
     conf = {
         "spark.sql.adaptive.enabled": "false",
         "spark.sql.shuffle.partitions": "3",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.ansi.enabled": "false",
     }
     old = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
