@@ -6,6 +6,7 @@
     python -m marquee export --dumps DIR --out DIR
     python -m marquee convert --dumps DIR --out DIR   (dumps -> Parquet, once)
     python -m marquee audit --dumps DIR                (rows and unparsable rows per dump)
+    python -m marquee explain --parquet DIR S5 M3      (physical plans; only size checks and numbering stages run)
 
 ``--dumps`` reads the seven tab-separated dumps (default: the current folder);
 ``--parquet`` reads ``<table>.parquet`` directories instead. Results are shown with ``show`` (only
@@ -45,7 +46,7 @@ def _show(name: str, df, rows: int, count: bool) -> None:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="marquee")
-    parser.add_argument("command", choices=["questions", "statistics", "preview", "export", "convert", "audit"])
+    parser.add_argument("command", choices=["questions", "statistics", "preview", "export", "convert", "audit", "explain"])
     parser.add_argument("ids", nargs="*", help="question IDs (default: all)")
     src = parser.add_mutually_exclusive_group()
     src.add_argument("--dumps", help="folder with the seven .tsv dumps (default: the current folder)")
@@ -72,6 +73,10 @@ def main(argv: list[str] | None = None) -> int:
         for name, df in movies.p1_previews(cat, args.rows or 5).items():
             print(f"---- {name}")
             df.show(truncate=False)
+    elif args.command == "explain":
+        for qid in args.ids or list(movies.QUESTIONS):
+            print(f"---- {qid}")
+            movies.QUESTIONS[qid](cat).explain("formatted")
     elif args.command == "audit":
         if not args.dumps:
             parser.error("audit reads the tab-separated dumps (--dumps)")

@@ -104,3 +104,12 @@ def test_command_line_reads_the_current_folder_by_default(dumps):
     )
     assert out.returncode == 0, out.stderr[-2000:]
     assert "---- ST4" in out.stdout
+
+
+def test_command_line_explain(dumps):
+    out = subprocess.run(
+        [sys.executable, "-m", "marquee", "explain", "S5", "--dumps", dumps, "--master", "local[2]"],
+        cwd=REPO, capture_output=True, text=True, timeout=300,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "---- S5" in out.stdout and "WindowGroupLimit" in out.stdout
