@@ -34,3 +34,13 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert df.columns == ["word", "p_partkey", "p_name", "p_retailprice", "p_size"]
     assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+
+
+def test_export_joins_array_columns(spark, catalog):
+    from marquee.sources import export_csv
+
+    out = tempfile.mkdtemp(prefix="marquee-export-")
+    written = export_csv({"music": movies.m4_music_department_groups(catalog)}, out)
+    back = spark.read.option("header", "true").csv(written["music"])
+    got = sorted((r["containsMusic_Department"], r["fullName"]) for r in back.collect())
+    assert got == [("actor,music_department", "Benedict Roe"), ("music_department", "Cy Poe")]
