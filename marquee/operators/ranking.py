@@ -10,7 +10,8 @@ without sending a group (or everything) to one task. A window
 in a single task; instead:
 
 1. sort with range partitioning on (keys, order): a hot group is spread over
-   consecutive partitions;
+   consecutive partitions (the input is kept while the sort samples it for
+   bounds and then shuffles it, so an upstream join runs once);
 2. tag each row with its partition id and a within-partition position and
    cut lineage with a reliable checkpoint, so re-running a lost task cannot
    move a row to another partition or position;
@@ -18,6 +19,9 @@ in a single task; instead:
    groups + partitions rows), and a running sum of counts over earlier
    partitions of the same group -> offset;
 4. join the offsets back: number = offset + position - first position + 1.
+
+With ``limit=N`` only numbers 1..N are wanted: a partial top-N per group, or
+``orderBy().limit(N)`` globally, replaces the full sort.
 """
 
 from __future__ import annotations
