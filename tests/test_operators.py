@@ -195,3 +195,26 @@ def test_operators_keep_the_callers_cache(spark):
     broadcast_if_small(df, max_rows=0)
     assert df.is_cached
     df.unpersist()
+
+
+@SETTINGS
+@given(
+    facts=st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["x", "y"])), max_size=40),
+    lists=st.lists(st.one_of(st.none(), st.sampled_from(["a", "a,b", "b,c,a", "", "c"])), min_size=7, max_size=7),
+)
+def test_count_through_matches_brute_force(spark, facts, lists):
+    from collections import Counter
+
+    from marquee.operators import count_through
+
+    fact = spark.createDataFrame(facts, "k long, t string") if facts else spark.createDataFrame([], "k long, t string")
+    dim = spark.createDataFrame(list(enumerate(lists)), "dk long, items string")
+    got = {(r["t"], r["item"]): r["count"] for r in count_through(
+        fact, "k", dim, "dk", ["t", "item"], fact_group=["t"], explode=("items", "item", ",")
+    ).collect()}
+    want = Counter()
+    for k, t in facts:
+        if lists[k] is not None:
+            for item in lists[k].split(","):
+                want[(t, item)] += 1
+    assert got == dict(want)
