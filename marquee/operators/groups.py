@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.exact import fixed_point, mean_from
 from marquee.functions.util import as_cols
-from marquee.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from marquee.operators.joins import broadcast_if_small
 from marquee.operators.ranking import number_rows
 
 DEFAULT_CHUNK_ROWS = 10_000
@@ -31,7 +31,7 @@ def above_group_mean(
     value: str,
     mean_name: str | None = None,
     exact_scale: int | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` is strictly above the mean of ``value`` in their group.
 

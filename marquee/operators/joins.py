@@ -15,15 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 500_000
+BROADCAST_ROWS_CONF = "spark.marquee.broadcastMaxRows"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
 
     Meant for derived lookup tables (group statistics, per-partition
     offsets). The frame is persisted so the counting job is not repeated
-    when the join runs; lost blocks are recomputed from lineage.
+    when the join runs; lost blocks are recomputed from lineage. Without
+    ``max_rows`` the bound is the session's ``spark.marquee.broadcastMaxRows``
+    (default 500,000).
     """
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
     ours = not df.is_cached  # never drop a cache the caller made
     cached = df.persist(StorageLevel.MEMORY_AND_DISK) if ours else df
     if cached.count() <= max_rows:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.util import as_cols
-from marquee.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from marquee.operators.joins import broadcast_if_small
 from marquee.session import checkpoint
 
 _PID, _POS, _CNT, _FIRST, _OFF = "__pid", "__pos", "__cnt", "__first", "__offset"
@@ -67,7 +67,7 @@ def number_rows(
     order: Sequence[Column | str],
     keys: Sequence[str] = (),
     name: str = "row_number",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Append ``name`` (BIGINT): 1, 2, ... in ``order`` within each ``keys`` group.

@@ -218,3 +218,16 @@ def test_count_through_matches_brute_force(spark, facts, lists):
             for item in lists[k].split(","):
                 want[(t, item)] += 1
     assert got == dict(want)
+
+
+def test_broadcast_bound_from_session(spark):
+    from marquee.operators import broadcast_if_small
+    from marquee.operators.joins import BROADCAST_ROWS_CONF
+
+    small = spark.range(10)
+    spark.conf.set(BROADCAST_ROWS_CONF, "5")
+    try:
+        assert "broadcast" not in broadcast_if_small(small)._jdf.queryExecution().logical().toString().lower()
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
+    assert "broadcast" in broadcast_if_small(spark.range(10))._jdf.queryExecution().logical().toString().lower()
