@@ -18,6 +18,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
 from marquee.plans import movies
 from marquee.session import build_session
 from marquee.sources.catalog import MovieCatalog
@@ -59,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     if not args.parquet and not args.dumps:
         args.dumps = "."  # the dumps next to where the command runs, like the original scripts
 
+    owned = SparkSession.getActiveSession() is None  # stop only a session this command started
     spark = build_session(master=args.master)
     cat = _catalog(spark, args)
     count = not args.no_count
@@ -94,7 +97,8 @@ def main(argv: list[str] | None = None) -> int:
             parser.error("export needs --out")
         for name, path in movies.x1_export(cat, args.out).items():
             print(f"{name} -> {path}")
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0
 
 
