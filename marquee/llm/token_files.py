@@ -41,7 +41,7 @@ def width(vocab: int) -> int:
 
 
 def pack_block(ids: np.ndarray, bits: int) -> np.ndarray:
-    """ids (< 2**bits, bits <= 32) as 64-bit words, 64 ids to ``bits`` words."""
+    """Values (< 2**bits, bits <= 63) as 64-bit words, 64 values to ``bits`` words."""
     rows = -(-len(ids) // 64)
     grid = np.zeros(rows * 64, dtype=np.uint64)
     grid[: len(ids)] = ids
@@ -55,7 +55,8 @@ def pack_block(ids: np.ndarray, bits: int) -> np.ndarray:
     return out.ravel()
 
 
-def unpack_block(words: np.ndarray, bits: int, n: int) -> np.ndarray:
+def unpack_words(words: np.ndarray, bits: int, n: int) -> np.ndarray:
+    """The first n of the packed values, as 64-bit integers."""
     rows = len(words) // bits
     words = words.reshape(rows, bits)
     out = np.empty((rows, 64), dtype=np.uint64)
@@ -64,7 +65,7 @@ def unpack_block(words: np.ndarray, bits: int, n: int) -> np.ndarray:
         out[:, j] = words[:, word] >> np.uint64(shift)
         if shift + bits > 64:
             out[:, j] |= words[:, word + 1] << np.uint64(64 - shift)
-    return (out.ravel()[:n] & np.uint64((1 << bits) - 1)).astype("<u4")
+    return out.ravel()[:n] & np.uint64((1 << bits) - 1)
 
 
 def pack_segment(doc_ids: list[int], docs: list[np.ndarray], bits: int, block: int = BLOCK_IDS) -> bytes:
@@ -104,7 +105,7 @@ class Segment:
         for k in range(first, last + 1):
             at, end = self.offsets[k], self.offsets[k + 1]
             words = np.frombuffer(self.data, "<u8", (end - at) // 8, self.payload + at)
-            out.append(unpack_block(words, self.bits, min(self.block, self.n_ids - k * self.block)))
+            out.append(unpack_words(words, self.bits, min(self.block, self.n_ids - k * self.block)).astype("<u4"))
         return np.concatenate(out)[start - first * self.block : stop - first * self.block]
 
 
