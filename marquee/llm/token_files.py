@@ -72,12 +72,14 @@ def pack_segment(doc_ids: list[int], docs: list[np.ndarray], bits: int, block: i
     ids = np.concatenate(docs) if docs else np.zeros(0, dtype="<u4")
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
-    payload = [pack_block(ids[k : k + block], bits) for k in range(0, len(ids), block)]
-    offsets = np.concatenate([[0], np.cumsum([8 * len(p) for p in payload])]).astype("<u8")
+    if block % 64:
+        raise ValueError("a block holds a multiple of 64 ids")  # so that blocks meet at whole words
+    payload = pack_block(ids, bits).astype("<u8")
+    offsets = np.minimum(np.arange(-(-len(ids) // block) + 1) * (block * bits // 8), 8 * len(payload)).astype("<u8")
     head = np.array([bits, block, len(docs)], dtype="<u4").tobytes() + np.array([len(ids)], dtype="<u8").tobytes()
     ends = np.cumsum([len(d) for d in docs]).astype("<u8")
     parts = [MAGIC, head, np.array(doc_ids, dtype="<i8").tobytes(), ends.tobytes(), offsets.tobytes()]
-    return b"".join(parts + [p.astype("<u8").tobytes() for p in payload])
+    return b"".join([*parts, payload.tobytes()])
 
 
 class Segment:
@@ -101,12 +103,10 @@ class Segment:
         if start >= stop:
             return np.zeros(0, dtype="<u4")
         first, last = start // self.block, (stop - 1) // self.block
-        out = []
-        for k in range(first, last + 1):
-            at, end = self.offsets[k], self.offsets[k + 1]
-            words = np.frombuffer(self.data, "<u8", (end - at) // 8, self.payload + at)
-            out.append(unpack_words(words, self.bits, min(self.block, self.n_ids - k * self.block)).astype("<u4"))
-        return np.concatenate(out)[start - first * self.block : stop - first * self.block]
+        at, end = int(self.offsets[first]), int(self.offsets[last + 1])
+        words = np.frombuffer(self.data, "<u8", (end - at) // 8, self.payload + at)
+        held = unpack_words(words, self.bits, min((last + 1) * self.block, self.n_ids) - first * self.block)
+        return held[start - first * self.block : stop - first * self.block].astype("<u4")
 
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int, segment: int) -> Iterator[pa.RecordBatch]:
