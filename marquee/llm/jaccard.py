@@ -260,7 +260,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def one_per_component(docs: DataFrame) -> DataFrame:
     """The documents with the smallest doc_id of their component, all columns
-    kept; rows without doc_id that stand alone stay."""
-    rows = jaccard_components(docs)
-    gone = rows.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    kept. Rows equal in doc_id are one document; rows without a doc_id cannot be
+    named and stay."""
+    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")

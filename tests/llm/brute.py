@@ -1,0 +1,133 @@
+"""Plain Python versions of the operators, quadratic where that is simplest.
+
+Documents are (doc_id, text) pairs; results are keyed by doc_id, which is
+unique in the inputs these are used on unless said otherwise.
+"""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text: str | None) -> str:
+    return re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def unigram_scores(docs):
+    """doc_id -> (held_out, n_tokens, n_known, train_tokens, base_score)."""
+    counts, tokens = collections.Counter(), {}
+    for d, text in docs:
+        tokens[d] = [*WORD.findall(lower(text)), None]
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            counts.update(tokens[d])
+    n, v = sum(counts.values()), len(counts)
+    return {
+        d: (
+            zlib.crc32(str(d).encode()) % 7 == 2,
+            len(w),
+            sum(counts[x] > 0 for x in w),
+            n,
+            sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w),
+        )
+        for d, w in tokens.items()
+    }
+
+
+def bigram_scores(docs, weight):
+    """doc_id -> log10 probability under the interpolated bigram model, without
+    the rounding of the codes."""
+    counts, pairs, tokens = collections.Counter(), collections.Counter(), {}
+    for d, text in docs:
+        w = tokens[d] = [*WORD.findall(lower(text)), None]
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            counts.update(w)
+            pairs.update(zip([None, *w], w, strict=False))
+    n, v = sum(counts.values()), len(counts)
+    out = {}
+    for d, w in tokens.items():
+        total = 0.0
+        for c, x in zip([None, *w], w, strict=False):
+            p = (counts[x] + 1) / (n + v + 1)
+            total += math.log10((1 - weight) * p + weight * pairs[c, x] / counts[c] if counts[c] else p)
+        out[d] = total
+    return out
+
+
+def measures(text: str | None):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    text = text or ""
+    w = WORD.findall(text)
+    n = len(w)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = collections.Counter(tuple(w[i : i + 5]) for i in range(n - 4))
+    covered = {j for i in range(n - 4) if windows[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    failed = n < 10 or 100 * len(covered) > 20 * n
+    symbols = sum(text.count(x) for x in "#*$%&|<>")
+    return n, sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed
+
+
+def removed_phrases(docs, size=13):
+    """doc_id -> (n_words, n_removed, kept)."""
+    first, words = {}, {d: WORD.findall(t or "") for d, t in docs}
+    for d in sorted(words):
+        for i in range(len(words[d]) - size + 1):
+            first.setdefault(tuple(words[d][i : i + size]), d)
+    out = {}
+    for d, w in words.items():
+        gone = {j for i in range(len(w) - size + 1) if first[tuple(w[i : i + size])] < d for j in range(i, i + size)}
+        out[d] = len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)
+    return out
+
+
+def shingles(text):
+    w = WORD.findall(lower(text))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def jaccard_groups(docs):
+    """doc_id -> (n_shingles, component_id)."""
+    sets = {d: shingles(t) for d, t in docs}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                a_root, b_root = find(a), find(b)
+                parent[max(a_root, b_root)] = min(a_root, b_root)
+    return {d: (len(s), find(d)) for d, s in sets.items()}
+
+
+def contamination(docs, items):
+    """doc_id -> (n_words, n_hit, n_items, items_sha256, contaminated)."""
+    windows = collections.defaultdict(set)
+    for item, text in items:
+        w = ALNUM.findall(lower(text))
+        for i in range(max(1, len(w) - 9)) if w else ():
+            windows[tuple(w[i : i + 10])].add(item)
+    out = {}
+    for d, text in docs:
+        w, hit, found = ALNUM.findall(lower(text)), set(), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                if (x := tuple(w[i : i + size])) in windows:
+                    hit.update(range(i, i + size))
+                    found |= windows[x]
+        out[d] = len(w), len(hit), len(found), sha(",".join(sorted(map(str, found)))), bool(hit)
+    return out
