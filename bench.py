@@ -13,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,6 +24,7 @@ from marquee.session import build_session  # noqa: E402
 
 def run_once(spark, fn, sf_dir: str) -> float:
     t0 = time.perf_counter()
+    spark.catalog.clearCache()  # nothing a run kept helps the next one
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
@@ -33,7 +35,10 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2))
-    spark = build_session(master=f"local[{cpus}]", app_name="marquee-bench", shuffle_partitions=partitions)
+    spark = build_session(
+        master=f"local[{cpus}]", app_name="marquee-bench", shuffle_partitions=partitions,
+        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="marquee-bench-")},
+    )
     names = only or list(registry.QUERIES)
     timings, errors = {}, {}
     for name in names:

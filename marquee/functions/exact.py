@@ -15,8 +15,15 @@ from marquee.functions.util import as_col
 
 
 def fixed_point(col: Column | str, scale: int = 2) -> Column:
-    """``round(value * 10^scale)`` as BIGINT."""
-    return F.round(as_col(col) * (10**scale)).cast("bigint")
+    """The value as a whole number of ``10^-scale``, as BIGINT.
+
+    The scale is checked: a value that is not exactly a decimal of that many
+    places is an error, never rounded."""
+    value = as_col(col).cast("double")
+    places = value.cast(f"decimal(28,{scale})")
+    units = (places * F.lit(10**scale).cast("decimal(10,0)")).cast("bigint")
+    wrong = F.concat(F.lit(f"more than {scale} decimal places: "), value.cast("string"))
+    return F.when(value.isNull() | (places.cast("double") == value), units).otherwise(F.raise_error(wrong).cast("bigint"))
 
 
 def exact_sum(col: Column | str, scale: int = 2) -> Column:

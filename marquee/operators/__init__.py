@@ -2,8 +2,8 @@
 
 from marquee.operators.aggregate import count_by, count_through, max_by_group, mean_by, row_count, table_counts
 from marquee.operators.explode import explode_list
-from marquee.operators.groups import DEFAULT_CHUNK_ROWS, above_group_mean, group_list
-from marquee.operators.joins import broadcast_if_small, exists_in, with_names
+from marquee.operators.groups import above_group_mean, group_list
+from marquee.operators.joins import exists_in, with_names
 from marquee.operators.preview import preview
 from marquee.operators.ranking import first_per_group, number_rows, top_n_per_group
 from marquee.operators.spans import year_span
@@ -16,10 +16,8 @@ __all__ = [
     "row_count",
     "table_counts",
     "explode_list",
-    "DEFAULT_CHUNK_ROWS",
     "above_group_mean",
     "group_list",
-    "broadcast_if_small",
     "exists_in",
     "with_names",
     "preview",

@@ -1,13 +1,11 @@
-"""Group-relative selection and list aggregation.
+"""Group-relative selection and ordered group lists.
 
 ``above_group_mean`` replaces ``avg(...) OVER (PARTITION BY key)`` + filter:
 the window puts every row of a group in one task; here the group statistics
-are a map-side-combined aggregate, checked for size and broadcast back.
+are a map-side-combined aggregate (one row per group) joined back.
 
-``group_list`` collects a group's values into lists of at most ``chunk_rows``
-values each, so no group, however hot, is built into one unbounded array.
-Chunk ``c`` holds the group's values ranked ``c*chunk_rows+1 ..`` in order;
-concatenating a group's chunks by ``chunk`` gives the whole ordered list.
+``group_list`` gives a group's values in order as one row per value, so its
+shape never depends on how large a group is and no list is built in a task.
 """
 
 from __future__ import annotations
@@ -19,11 +17,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions.exact import fixed_point, mean_from
 from marquee.functions.util import as_cols
-from marquee.operators.joins import broadcast_if_small
 from marquee.operators.ranking import number_rows
 
-DEFAULT_CHUNK_ROWS = 10_000
-
 
 def above_group_mean(
     df: DataFrame,
@@ -31,14 +26,14 @@ def above_group_mean(
     value: str,
     mean_name: str | None = None,
     exact_scale: int | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` is strictly above the mean of ``value`` in their group.
 
     Groups are matched NULL-safely (a NULL key is a group, as in a window).
     With ``exact_scale`` the test is the exact integer comparison
     ``fixed(value) * count > fixed_sum`` and the mean is computed from the
-    exact sum; otherwise ``value > avg(value)``.
+    exact sum (a value with more decimals is an error, see
+    ``functions.exact``); otherwise ``value > avg(value)``.
     """
     if not keys:
         raise ValueError("above_group_mean needs at least one group key")
@@ -51,7 +46,6 @@ def above_group_mean(
             F.count(F.col(value)).alias("__cnt"),
         ]
     stats = df.groupBy(*[F.col(k).alias(a) for k, a in aliases.items()]).agg(*aggs)
-    stats = broadcast_if_small(stats, max_broadcast_rows)
 
     cond = None
     for k, a in aliases.items():
@@ -77,41 +71,14 @@ def group_list(
     value: str,
     out: str,
     order: Sequence[Column | str] | None = None,
-    sep: str | None = None,
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
-    chunk_name: str = "chunk",
+    position: str = "position",
 ) -> DataFrame:
-    """Ordered list of ``value`` per group, in chunks of at most ``chunk_rows``.
+    """``keys, position, out``: each group's values numbered 1, 2, ... in order.
 
-    Returns ``keys, chunk_name, out``: ``out`` is an array, or a string joined
-    with ``sep`` when given. NULL values are skipped, as ``collect_list`` does.
     ``order`` defaults to the value itself; give a unique last key for a
-    deterministic order among equal values.
+    deterministic order among equal values. NULL values come last.
     """
-    order = list(order) if order else [value]
-    rows = df.select(*keys, *[c for c in df.columns if c not in keys])
-    if all(isinstance(o, str) for o in order) and _largest_group(rows, keys) <= chunk_rows:
-        # Every group fits in one chunk: sort inside the group, no numbering pass.
-        items = F.array_sort(
-            F.collect_list(F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)], F.col(value).alias("v")))
-        )
-        listed = rows.groupBy(*keys).agg(items.alias("__items")).withColumn(chunk_name, F.lit(0).cast("bigint"))
-    else:
-        numbered = number_rows(rows, as_cols(order), keys=keys, name="__rn")
-        chunked = numbered.withColumn(
-            chunk_name, F.floor((F.col("__rn") - 1) / F.lit(chunk_rows)).cast("bigint")
-        )
-        listed = chunked.groupBy(*keys, chunk_name).agg(
-            F.array_sort(F.collect_list(F.struct(F.col("__rn"), F.col(value).alias("v")))).alias("__items")
-        )
-    # NULL values hold their place in the numbering but are not listed (as collect_list skips them).
-    values = F.transform(F.filter("__items", lambda x: x["v"].isNotNull()), lambda x: x["v"])
-    if sep is not None:
-        values = F.array_join(values, sep)
-    return listed.select(*keys, chunk_name, values.alias(out))
-
-
-def _largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group (0 for no rows); counts are combined map-side."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.agg(F.max("__n")).first()[0] or 0
+    last = [F.col(value).isNull().alias("__null"), *[c for c in df.columns]]
+    by = ["__null", *as_cols(list(order) if order else [value])]
+    numbered = number_rows(df.select(*last), by, keys=keys, name=position)
+    return numbered.select(*keys, position, F.col(value).alias(out))

@@ -1,42 +1,16 @@
-"""Lookup joins, existence checks and the size-checked broadcast.
+"""Lookup joins and existence checks.
 
-No join here hints a broadcast on a side whose size grows with the data
-unless that side was counted first: ``broadcast_if_small`` counts a frame that
-is already aggregated (cheap) and marks it for broadcast only under a row
-bound; above it the join stays a shuffle join that AQE may still re-plan.
+No join here hints a broadcast: Spark's own size estimates and AQE choose the
+strategy, and AQE splits a partition that holds a hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 500_000
-BROADCAST_ROWS_CONF = "spark.marquee.broadcastMaxRows"
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
-
-    Meant for derived lookup tables (group statistics, per-partition
-    offsets). The frame is persisted so the counting job is not repeated
-    when the join runs; lost blocks are recomputed from lineage. Without
-    ``max_rows`` the bound is the session's ``spark.marquee.broadcastMaxRows``
-    (default 500,000).
-    """
-    if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-    ours = not df.is_cached  # never drop a cache the caller made
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if ours else df
-    if cached.count() <= max_rows:
-        return F.broadcast(cached)
-    if ours:
-        cached.unpersist()  # too big to broadcast: do not pin it; the join shuffles instead
-    return df
-
 
 def with_names(
     df: DataFrame,

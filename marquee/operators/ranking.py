@@ -10,8 +10,7 @@ without sending a group (or everything) to one task. A window
 in a single task; instead:
 
 1. sort with range partitioning on (keys, order): a hot group is spread over
-   consecutive partitions (the input is kept while the sort samples it for
-   bounds and then shuffles it, so an upstream join runs once);
+   consecutive partitions;
 2. tag each row with its partition id and a within-partition position and
    cut lineage with a reliable checkpoint, so re-running a lost task cannot
    move a row to another partition or position;
@@ -20,6 +19,10 @@ in a single task; instead:
    partitions of the same group -> offset;
 4. join the offsets back: number = offset + position - first position + 1.
 
+The checkpoint is the one job that runs while the plan is built; without it a
+retried task could deal rows out differently and numbers would repeat. It needs
+``spark.checkpoint.dir``.
+
 With ``limit=N`` only numbers 1..N are wanted: a partial top-N per group, or
 ``orderBy().limit(N)`` globally, replaces the full sort.
 """
@@ -28,12 +31,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.util import as_cols
-from marquee.operators.joins import broadcast_if_small
 from marquee.session import checkpoint
 
 _PID, _POS, _CNT, _FIRST, _OFF = "__pid", "__pos", "__cnt", "__first", "__offset"
@@ -67,7 +68,6 @@ def number_rows(
     order: Sequence[Column | str],
     keys: Sequence[str] = (),
     name: str = "row_number",
-    max_broadcast_rows: int | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Append ``name`` (BIGINT): 1, 2, ... in ``order`` within each ``keys`` group.
@@ -87,18 +87,11 @@ def number_rows(
         top = df.orderBy(*as_cols(order)).limit(limit)
         return top.withColumn(name, F.row_number().over(Window.orderBy(*as_cols(order))).cast("bigint"))
     sort_spec = [F.col(k).asc_nulls_first() for k in keys] + as_cols(order)
-    # The range sort first samples its input to choose bounds, then shuffles it:
-    # keep the input so an expensive upstream (a join) is computed once. A lost
-    # block is recomputed; the bounds are already fixed and the result is checkpointed.
-    ours = not df.is_cached  # never drop a cache the caller made
-    source = df.persist(StorageLevel.MEMORY_AND_DISK) if ours else df
     staged = checkpoint(
-        source.orderBy(*sort_spec)
+        df.orderBy(*sort_spec)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
     )
-    if ours:
-        source.unpersist()
 
     spans = staged.groupBy(_PID, *keys).agg(
         F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)
@@ -114,9 +107,7 @@ def number_rows(
         F.col(_OFF),
         F.col(_FIRST),
     )
-    if keys:
-        spans = broadcast_if_small(spans, max_broadcast_rows)
-    else:
+    if not keys:
         # One row per partition of the sorted frame: bounded by the partition count.
         spans = F.broadcast(spans)
 

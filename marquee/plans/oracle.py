@@ -3,8 +3,8 @@
 Written independently of the Spark code, in plain SQL over the test tables:
 windows where Spark uses grouped joins, ``len(string_split(...))`` where Spark
 uses a substring test, and so on. Shared conventions with ``plans.star``:
-integer-valued outputs cast to the Spark type, money means from fixed-point
-sums (``sum(cents) / count / 100``), lists as strings joined in a stated order.
+integer-valued outputs cast to the Spark type, money means as plain ``avg``
+rounded to four decimals, lists as one numbered row per value.
 """
 
 from __future__ import annotations
@@ -12,10 +12,6 @@ from __future__ import annotations
 from marquee.sources.star import STAR_TABLES
 
 
-def _cents(col: str) -> str:
-    return f"CAST(round({col} * 100) AS BIGINT)"
-
-
 WORDS = "(SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part{where})"
 
 ORACLE_SQL: dict[str, str] = {
@@ -30,12 +26,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM part JOIN lineitem ON p_partkey = l_partkey
         WHERE p_type = 'STANDARD' AND l_returnflag = 'R' AND l_linestatus = 'O'
           AND year(l_shipdate) >= 2000""",
-    "A3": f"""
-        SELECT c_name, sum({_cents('o_totalprice')}) / count(*) / 100 AS avg_totalprice
+    "A3": """
+        SELECT c_name, round(avg(o_totalprice), 4) AS avg_totalprice, count(*) AS order_count
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice >= 1000
         GROUP BY c_name
-        HAVING sum({_cents('o_totalprice')}) >= 30000000 * count(*)""",
+        HAVING avg(o_totalprice) >= 300000""",
     "A4": """
         SELECT n_name, max(l_linenumber) AS max_linenumber
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -86,27 +82,26 @@ ORACLE_SQL: dict[str, str] = {
               FROM orders) o
         JOIN customer ON o_custkey = c_custkey
         WHERE rn = 1""",
-    "I6": f"""
-        WITH w AS (SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE contains(p_name, 'widget')),
-        m AS (SELECT p_size, sum({_cents('p_retailprice')}) AS s, count(p_retailprice) AS c
-              FROM w GROUP BY p_size),
-        r AS (SELECT w.*, row_number() OVER (PARTITION BY w.p_size
-                                             ORDER BY p_retailprice DESC, p_partkey) AS rn
-              FROM w JOIN m ON w.p_size = m.p_size
-              WHERE {_cents('p_retailprice')} * m.c > m.s)
+    "I6": """
+        WITH w AS (SELECT p_partkey, p_name, p_size, p_retailprice,
+                          avg(p_retailprice) OVER (PARTITION BY p_size) AS m
+                   FROM part WHERE contains(p_name, 'widget')),
+        r AS (SELECT *, row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice DESC, p_partkey) AS rn
+              FROM w WHERE p_retailprice > m)
         SELECT p_partkey, p_name, p_size, p_retailprice FROM r WHERE rn <= 3""",
-    "I7": f"""
-        WITH o AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS order_year, o_totalprice
-                   FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL),
-        m AS (SELECT order_year, sum({_cents('o_totalprice')}) AS s, count(o_totalprice) AS c
-              FROM o GROUP BY order_year)
-        SELECT o_orderkey, o.order_year, o_totalprice, m.s / m.c / 100 AS avg_year_totalprice
-        FROM o JOIN m ON o.order_year = m.order_year
-        WHERE {_cents('o_totalprice')} * m.c > m.s""",
+    "I7": """
+        SELECT o_orderkey, order_year, o_totalprice, round(m, 4) AS avg_year_totalprice
+        FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS order_year, o_totalprice,
+                     avg(o_totalprice) OVER (PARTITION BY year(o_orderdate)) AS m
+              FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL)
+        WHERE o_totalprice > m""",
     "M1": """
         SELECT d.doc_id, d.lang, l.quality, l.toxic
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
         WHERE d.text IS NOT NULL AND len(string_split(d.text, chr(10))) <= 1""",
+    "M1_unlabelled": """
+        SELECT lang, count(*) AS doc_count FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY lang""",
     "M2": """
         SELECT p_name AS film_name, s_suppkey AS supplier_id, s_name AS supplier_name
         FROM (SELECT s_suppkey, s_name, l_partkey,
@@ -124,12 +119,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE date_diff('day', o_orderdate, l_shipdate) = 50""",
     "M4": """
-        SELECT p_brand, CAST((rn - 1) // 10000 AS BIGINT) AS chunk,
-               string_agg(p_name, ', ' ORDER BY rn) AS part_names
-        FROM (SELECT p_brand, p_name,
-                     row_number() OVER (PARTITION BY p_brand ORDER BY p_name, p_partkey) AS rn
-              FROM part WHERE contains(p_brand, 'Brand#1'))
-        GROUP BY p_brand, chunk""",
+        SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_name, p_partkey) AS position,
+               p_name AS part_name
+        FROM part WHERE contains(p_brand, 'Brand#1')""",
     "M5": """
         SELECT lang, count(*) AS doc_count FROM documents
         WHERE text IS NOT NULL AND source IS NOT NULL AND lang IS NOT NULL
@@ -154,14 +146,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT n_name, count(DISTINCT o_custkey) AS customer_count
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         GROUP BY n_name""",
-    "S4": f"""
-        SELECT c_name,
-               sum({_cents('l_extendedprice')}) / count(*) / 100 AS avg_price,
-               sum({_cents('l_quantity')}) / count(*) / 100 AS avg_quantity,
+    "S4": """
+        SELECT c_name, round(avg(l_extendedprice), 4) AS avg_price, round(avg(l_quantity), 4) AS avg_quantity,
                count(*) AS line_count
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         GROUP BY o_custkey, c_name
-        HAVING sum({_cents('l_quantity')}) > 2700 * count(*)""",
+        HAVING avg(l_quantity) > 27""",
     "S5": """
         SELECT word, p_partkey, p_name, p_retailprice, p_size
         FROM (SELECT w.*, row_number() OVER (PARTITION BY word ORDER BY p_retailprice DESC, p_partkey) AS rn
@@ -175,14 +165,14 @@ ORACLE_SQL: dict[str, str] = {
         firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY p_size, p_partkey) AS rn
                                   FROM words) WHERE rn = 1),
         crew AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem),
-        named AS (SELECT f.word, f.p_name, f.p_size, s.s_name,
-                         row_number() OVER (PARTITION BY f.word, f.p_name, f.p_size
-                                            ORDER BY s.s_name, c.l_suppkey) AS rn
+        named AS (SELECT f.word, f.p_name, f.p_size, s.s_name, c.l_suppkey
                   FROM firsts f JOIN crew c ON c.l_partkey = f.p_partkey
                   LEFT JOIN supplier s ON s.s_suppkey = c.l_suppkey)
-        SELECT word, p_name, p_size, CAST((rn - 1) // 10000 AS BIGINT) AS chunk,
-               coalesce(string_agg(s_name, ', ' ORDER BY rn), '') AS supplier_names
-        FROM named GROUP BY word, p_name, p_size, chunk""",
+        SELECT word, p_name, p_size,
+               row_number() OVER (PARTITION BY word, p_name, p_size
+                                  ORDER BY s_name NULLS LAST, l_suppkey) AS position,
+               s_name AS supplier_name
+        FROM named""",
     "ST1": "\n        UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in STAR_TABLES
     ),

@@ -27,6 +27,7 @@ QUERIES: dict[str, QueryFn] = {
     "I6": star.i6_top_widgets_above_size_mean,
     "I7": star.i7_orders_above_year_mean,
     "M1": star.m1_single_line_documents,
+    "M1_unlabelled": star.m1_unlabelled_documents,
     "M2": star.m2_one_part_per_supplier,
     "M3": star.m3_shipped_after_days,
     "M4": star.m4_part_names_per_brand,

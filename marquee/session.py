@@ -4,14 +4,12 @@ Library code never creates a session; it receives one. ``build_session`` is
 for tests, the bench and command-line use. ``checkpoint`` is the only way the
 library cuts lineage: it writes to the shared folder named by the session's
 ``spark.checkpoint.dir`` so that a lost executor cannot change what later
-stages read. A private folder is created only for local masters where the
-setting is unset (tests); on a cluster an unset setting is an error.
+stages read. Where the setting is missing it raises; tests and the bench set it.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import is_remote
@@ -56,24 +54,15 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder checkpoints go to, read from the session.
-
-    Order: the context's active checkpoint folder, then ``spark.checkpoint.dir``
-    from the session or context conf. Only a local master may fall back to a
-    fresh private folder.
-    """
+    """The folder checkpoints go to: the context's active checkpoint folder, or
+    the one ``spark.checkpoint.dir`` names. Unset, it is an error everywhere."""
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
     if active:
         return active
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set; point it at a folder every executor shares"
-            )
-        configured = tempfile.mkdtemp(prefix="marquee-checkpoint-")
-        spark.conf.set(CHECKPOINT_CONF, configured)
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a folder every executor shares")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

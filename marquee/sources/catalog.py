@@ -47,7 +47,8 @@ class MovieCatalog:
         file_names: dict[str, str] | None = None,
         corrupt_column: str | None = None,
     ) -> MovieCatalog:
-        """Read the seven tab-separated dumps found under ``root``.
+        """Read the seven tab-separated dumps found under ``root``, each plain or
+        gzipped (``name.basics.tsv`` or ``name.basics.tsv.gz``; keep one of them).
 
         ``corrupt_column`` appends a column holding the raw line of rows that
         did not parse (see ``readers.reject_count``).
@@ -55,7 +56,7 @@ class MovieCatalog:
         names = file_names or FILE_NAMES
         return cls(
             **{
-                t: read_tsv(spark, os.path.join(root, names[t]), schema, corrupt_column=corrupt_column)
+                t: read_tsv(spark, os.path.join(root, names[t]) + ("{,.gz}" if file_names is None else ""), schema, corrupt_column=corrupt_column)
                 for t, schema in SCHEMAS.items()
             }
         )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,7 +16,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(master="local[*]", app_name="marquee-tests", shuffle_partitions=8)
+    folder = tempfile.mkdtemp(prefix="marquee-checkpoint-")
+    session = build_session(
+        master="local[*]", app_name="marquee-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": folder}
+    )
     yield session
     session.stop()
 

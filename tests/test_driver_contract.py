@@ -9,10 +9,10 @@ import sys
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 SCRIPT = """
-import sys
+import sys, tempfile
 sys.path.insert(0, {repo!r})
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "8").config("spark.checkpoint.dir", tempfile.mkdtemp()).getOrCreate()
 import __spark_entry__ as e
 from tests.oracle_check import compare, duck
 assert e.entry(spark).count() > 0

@@ -132,9 +132,11 @@ SQL = {
     "M3": """SELECT primaryName AS name, birthYear AS birth, deathYear AS Death, deathYear - birthYear AS ageAtDeath,
                     row_number() OVER (PARTITION BY deathYear - birthYear ORDER BY deathYear, nconst) AS death_rank
              FROM name_basics WHERE deathYear - birthYear = 50""",
-    "M4": """SELECT primaryProfession AS containsMusic_Department, 0 AS chunk,
-                    list(primaryName ORDER BY primaryName, nconst) AS fullName
-             FROM name_basics WHERE contains(primaryProfession, 'music_dep') GROUP BY primaryProfession""",
+    "M4": """SELECT primaryProfession AS containsMusic_Department,
+                    row_number() OVER (PARTITION BY primaryProfession
+                                       ORDER BY primaryName NULLS LAST, nconst) AS position,
+                    primaryName AS fullName
+             FROM name_basics WHERE contains(primaryProfession, 'music_dep')""",
     "M5": """SELECT language, count(*) AS original_title_count FROM title_akas
              WHERE title IS NOT NULL AND region IS NOT NULL AND language IS NOT NULL GROUP BY language""",
     "M6": """SELECT b.primaryTitle, b.startYear, r.numVotes,
@@ -168,9 +170,11 @@ SQL = {
                    FROM f JOIN (SELECT tconst, unnest(string_split(directors, ',')) AS director FROM title_crew) x
                         ON f.tconst = x.tconst
                    LEFT JOIN name_basics n ON x.director = n.nconst)
-             SELECT genre, primaryTitle, startYear, 0 AS chunk,
-                    coalesce(string_agg(primaryName, ', ' ORDER BY primaryName NULLS FIRST, director), '') AS directors
-             FROM d GROUP BY genre, primaryTitle, startYear, runtimeMinutes""",
+             SELECT genre, primaryTitle, startYear,
+                    row_number() OVER (PARTITION BY genre, primaryTitle, startYear, runtimeMinutes
+                                       ORDER BY primaryName NULLS LAST, director) AS position,
+                    primaryName AS director
+             FROM d""",
     "A2": """SELECT b.tconst, a.title, a.region, a.language, b.startYear AS year, b.genres
              FROM title_basics b JOIN title_akas a ON b.tconst = a.titleId
              WHERE b.titleType = 'movie' AND a.language = 'de' AND a.region = 'DE' AND b.startYear >= 2010""",

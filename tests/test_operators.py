@@ -105,18 +105,26 @@ def test_above_group_mean_exact(spark, rows):
         assert not members <= got
 
 
+def test_more_decimals_than_the_scale_are_an_error(spark):
+    df = spark.createDataFrame([("a", 0.001), ("a", 0.004)], "g string, p double")
+    with pytest.raises(Exception, match="more than 2 decimal places"):
+        above_group_mean(df, ["g"], "p", exact_scale=2).collect()
+    assert [r["p"] for r in above_group_mean(df, ["g"], "p", exact_scale=3).collect()] == [0.004]
+
+
 @SETTINGS
-@given(rows=keyed_rows, chunk=st.integers(1, 5))
-def test_group_list_chunks_concatenate_to_sorted_list(spark, rows, chunk):
+@given(rows=keyed_rows, blank=st.sets(st.integers(0, 39)))
+def test_group_list_numbers_each_value_in_order(spark, rows, blank):
+    rows = [(i, g, None if i in blank else v) for i, g, v in rows]
     df = spark.createDataFrame(rows, KEYED).withColumn("s", F.col("v").cast("string"))
-    out = group_list(df.select("g", "s", "id"), ["g"], "s", "items", order=["s", "id"], chunk_rows=chunk).collect()
+    out = group_list(df.select("g", "s", "id"), ["g"], "s", "item", order=["s", "id"]).collect()
     got = defaultdict(list)
-    for r in sorted(out, key=lambda r: (repr(r["g"]), r["chunk"])):
-        assert 0 < len(r["items"]) <= chunk
-        got[r["g"]].extend(r["items"])
+    for r in sorted(out, key=lambda r: (repr(r["g"]), r["position"])):
+        got[r["g"]].append(r["item"])
+        assert r["position"] == len(got[r["g"]])
     expect = defaultdict(list)
-    for i, g, v in sorted(rows, key=lambda r: (str(r[2]), r[0])):
-        expect[g].append(str(v))
+    for i, g, v in sorted(rows, key=lambda r: (r[2] is None, str(r[2]), r[0])):
+        expect[g].append(None if v is None else str(v))
     assert dict(got) == dict(expect)
 
 
@@ -139,21 +147,17 @@ def no_auto_broadcast(spark):
     spark.conf.set(key, old)
 
 
-def test_shuffle_join_branch_when_lookup_exceeds_bound(no_auto_broadcast):
+def test_joins_without_broadcast_give_the_same_rows(no_auto_broadcast):
     spark = no_auto_broadcast
     rows = [(i, ["a", "b", None][i % 3], i % 7) for i in range(60)]
     df = spark.createDataFrame(rows, KEYED).repartition(4)
-    small = {r["id"]: r["rn"] for r in number_rows(df, ["v", "id"], keys=["g"], name="rn").collect()}
-    big = number_rows(df, ["v", "id"], keys=["g"], name="rn", max_broadcast_rows=0)
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan
-    assert {r["id"]: r["rn"] for r in big.collect()} == small
-
-    prices = spark.createDataFrame([(i, ["a", "b", None][i % 3], (i * 37 % 100) / 4) for i in range(60)], "id long, g string, p double")
-    a = {r["id"] for r in above_group_mean(prices, ["g"], "p", exact_scale=2).collect()}
-    b_df = above_group_mean(prices, ["g"], "p", exact_scale=2, max_broadcast_rows=0)
-    assert "BroadcastHashJoin" not in b_df._jdf.queryExecution().executedPlan().toString()
-    assert {r["id"] for r in b_df.collect()} == a
+    numbered = number_rows(df, ["v", "id"], keys=["g"], name="rn")
+    assert "BroadcastHashJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for g in ("a", "b", None):
+        own = sorted((v, i) for i, k, v in rows if k == g)
+        want |= {i: n for n, (_, i) in enumerate(own, start=1)}
+    assert {r["id"]: r["rn"] for r in numbered.collect()} == want
 
 
 def test_year_helpers_on_date_ntz_and_ltz_columns(spark):
@@ -186,14 +190,16 @@ def test_number_rows_with_limit_is_a_prefix(spark, rows, n):
     assert gcut == {(i, k) for i, k in gfull if k <= n}
 
 
-def test_operators_keep_the_callers_cache(spark):
-    from marquee.operators import broadcast_if_small
-
-    df = spark.range(100).select((F.col("id") % 3).alias("g"), "id").persist()
+def test_operators_keep_nothing_and_the_callers_cache(spark):
+    df = spark.range(100).select((F.col("id") % 3).cast("string").alias("g"), "id", (F.col("id") / 4).alias("p")).persist()
     df.count()
+    level, kept = df.storageLevel, spark.sparkContext._jsc.getPersistentRDDs().size()
+    assert level.useMemory
     number_rows(df, ["id"], keys=["g"]).count()
-    broadcast_if_small(df, max_rows=0)
-    assert df.is_cached
+    above_group_mean(df, ["g"], "p", exact_scale=2).count()
+    group_list(df, ["g"], "p", "item").count()
+    assert df.storageLevel == level
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
     df.unpersist()
 
 
@@ -218,16 +224,3 @@ def test_count_through_matches_brute_force(spark, facts, lists):
             for item in lists[k].split(","):
                 want[(t, item)] += 1
     assert got == dict(want)
-
-
-def test_broadcast_bound_from_session(spark):
-    from marquee.operators import broadcast_if_small
-    from marquee.operators.joins import BROADCAST_ROWS_CONF
-
-    small = spark.range(10)
-    spark.conf.set(BROADCAST_ROWS_CONF, "5")
-    try:
-        assert "broadcast" not in broadcast_if_small(small)._jdf.queryExecution().logical().toString().lower()
-    finally:
-        spark.conf.unset(BROADCAST_ROWS_CONF)
-    assert "broadcast" in broadcast_if_small(spark.range(10))._jdf.queryExecution().logical().toString().lower()

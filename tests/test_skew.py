@@ -43,10 +43,12 @@ def test_number_rows_spreads_a_hot_group(uncoalesced):
     assert tuple(hot) == (1, ROWS // 3, ROWS // 3)  # and still numbered 1..N without gaps
 
 
-def test_group_list_chunks_a_hot_group(spark):
-    out = group_list(_skewed(spark), ["g"], "v", "vs", order=["v", "id"], chunk_rows=1000)
-    hot = out.filter(F.col("g") == "hot").select("chunk", F.size("vs").alias("n")).collect()
-    assert len(hot) == 10 and all(r["n"] == 1000 for r in hot)
+def test_group_list_spreads_a_hot_group(uncoalesced):
+    spark = uncoalesced
+    out = group_list(_skewed(spark), ["g"], "v", "item", order=["v", "id"])
+    assert max(_partition_sizes(out)) < ROWS / 3 * 0.75
+    hot = out.filter(F.col("g") == "hot").agg(F.min("position"), F.max("position"), F.count(F.lit(1))).first()
+    assert tuple(hot) == (1, ROWS // 3, ROWS // 3)
 
 
 def test_count_through_collapses_hot_join_key(spark):
@@ -69,12 +71,12 @@ def test_exists_in_dedupe_collapses_repeated_keys(spark):
     assert "HashAggregate" in deduped._jdf.queryExecution().executedPlan().toString()
 
 
-def test_above_group_mean_never_shuffles_the_rows(spark):
+def test_above_group_mean_never_shuffles_the_rows_by_group(spark):
     from marquee.operators import above_group_mean
 
     df = _skewed(spark).withColumn("price", (F.col("v") / 100.0))
     out = above_group_mean(df, ["g"], "price", exact_scale=2)
+    assert out.count() > 0
     plan = out._jdf.queryExecution().executedPlan().toString()
-    rows_path = plan.split("InMemoryRelation")[0]  # everything above the cached statistics
-    assert "BroadcastHashJoin" in rows_path
-    assert "Exchange hashpartitioning" not in rows_path  # only the small statistics were shuffled
+    assert "Window" not in plan  # a window would put a whole group in one task
+    assert "partial_sum" in plan  # the statistics are combined before their shuffle
