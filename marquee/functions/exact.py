@@ -33,7 +33,7 @@ def exact_sum(col: Column | str, scale: int = 2) -> Column:
 
 def mean_from(total: Column | str, count: Column | str, scale: int = 2) -> Column:
     """DOUBLE mean from a fixed-point total and a row count (NULL if count is 0)."""
-    return F.try_divide(as_col(total), as_col(count)) / (10**scale)
+    return F.try_divide(as_col(total) / (10**scale), as_col(count))
 
 
 def exact_mean(col: Column | str, scale: int = 2) -> Column:

@@ -3,8 +3,8 @@
 Written independently of the Spark code, in plain SQL over the test tables:
 windows where Spark uses grouped joins, ``len(string_split(...))`` where Spark
 uses a substring test, and so on. Shared conventions with ``plans.star``:
-integer-valued outputs cast to the Spark type, money means as plain ``avg``
-rounded to four decimals, lists as one numbered row per value.
+integer-valued outputs cast to the Spark type, money means from DECIMAL sums
+(conditions on them by plain ``avg``), lists as one numbered row per value.
 """
 
 from __future__ import annotations
@@ -12,6 +12,11 @@ from __future__ import annotations
 from marquee.sources.star import STAR_TABLES
 
 
+def _mean(col: str) -> str:
+    """From a DECIMAL sum of four places, so that digits below cents would show."""
+    return f"CAST(sum(CAST({col} AS DECIMAL(18, 4))) AS DOUBLE) / count({col})"
+
+
 WORDS = "(SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part{where})"
 
 ORACLE_SQL: dict[str, str] = {
@@ -26,8 +31,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM part JOIN lineitem ON p_partkey = l_partkey
         WHERE p_type = 'STANDARD' AND l_returnflag = 'R' AND l_linestatus = 'O'
           AND year(l_shipdate) >= 2000""",
-    "A3": """
-        SELECT c_name, round(avg(o_totalprice), 4) AS avg_totalprice, count(*) AS order_count
+    "A3": f"""
+        SELECT c_name, {_mean('o_totalprice')} AS avg_totalprice, count(*) AS order_count
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_totalprice >= 1000
         GROUP BY c_name
@@ -89,11 +94,11 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY p_size ORDER BY p_retailprice DESC, p_partkey) AS rn
               FROM w WHERE p_retailprice > m)
         SELECT p_partkey, p_name, p_size, p_retailprice FROM r WHERE rn <= 3""",
-    "I7": """
-        SELECT o_orderkey, order_year, o_totalprice, round(m, 4) AS avg_year_totalprice
-        FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS order_year, o_totalprice,
-                     avg(o_totalprice) OVER (PARTITION BY year(o_orderdate)) AS m
+    "I7": f"""
+        SELECT o_orderkey, order_year, o_totalprice, m AS avg_year_totalprice
+        FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS order_year, o_totalprice
               FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL)
+        JOIN (SELECT year(o_orderdate) AS y, {_mean('o_totalprice')} AS m FROM orders GROUP BY y) ON y = order_year
         WHERE o_totalprice > m""",
     "M1": """
         SELECT d.doc_id, d.lang, l.quality, l.toxic
@@ -146,8 +151,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT n_name, count(DISTINCT o_custkey) AS customer_count
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         GROUP BY n_name""",
-    "S4": """
-        SELECT c_name, round(avg(l_extendedprice), 4) AS avg_price, round(avg(l_quantity), 4) AS avg_quantity,
+    "S4": f"""
+        SELECT c_name, {_mean('l_extendedprice')} AS avg_price, {_mean('l_quantity')} AS avg_quantity,
                count(*) AS line_count
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         GROUP BY o_custkey, c_name

@@ -9,8 +9,7 @@ pre-aggregation that the star schema's keys allow. Each has a DuckDB oracle in
 ``plans.oracle``.
 
 Conventions that keep results exact and comparable:
-* money means are fixed-point (``functions.exact``): order-free and exact, and
-  shown to four decimals;
+* money means are fixed-point (``functions.exact``): order-free and exact;
 * every numbering or first-per-group has a unique last sort key;
 * lists are one row per value, in a stated order;
 * year filters are written as timestamp ranges so they reach the scan.
@@ -113,9 +112,7 @@ def a3_customers_with_mean_price_from(
         named, ["c_name"], {"avg_totalprice": exact_mean("o_totalprice")},
         count_name="order_count", having=F.col("avg_totalprice") >= border_price,
     )
-    return means.select("c_name", F.round("avg_totalprice", 4).alias("avg_totalprice"), "order_count").orderBy(
-        "avg_totalprice", "c_name"
-    )
+    return means.select("c_name", "avg_totalprice", "order_count").orderBy("avg_totalprice", "c_name")
 
 
 def a4_max_linenumber_per_nation(spark: SparkSession, sf_dir: str, flag: str = RETURN_FLAG) -> DataFrame:
@@ -258,7 +255,6 @@ def i7_orders_above_year_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", year_of("o_orderdate").alias("order_year"), "o_totalprice"
     )
     above = above_group_mean(orders, ["order_year"], "o_totalprice", mean_name="avg_year_totalprice", exact_scale=2)
-    above = above.withColumn("avg_year_totalprice", F.round("avg_year_totalprice", 4))
     return above.orderBy(F.col("o_totalprice").desc(), "o_orderkey")
 
 
@@ -393,8 +389,8 @@ def s4_customer_line_stats(spark: SparkSession, sf_dir: str, min_avg_quantity: f
     out = per_customer.join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
     return out.select(
         "c_name",
-        F.round(mean_from("price_c", "n"), 4).alias("avg_price"),
-        F.round(mean_from("qty_c", "n"), 4).alias("avg_quantity"),
+        mean_from("price_c", "n").alias("avg_price"),
+        mean_from("qty_c", "n").alias("avg_quantity"),
         F.col("n").alias("line_count"),
     ).orderBy(F.col("avg_price").desc(), "c_name")
 
