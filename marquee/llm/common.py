@@ -15,9 +15,17 @@ WHITESPACE = " \t\n\x0b\f\r"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole test table, read by Spark (the path may be in any store)."""
+    _importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _importable(spark: SparkSession) -> None:
+    """Python workers find this package where the driver does, unless the
+    session already says where (``--py-files``, PYTHONPATH)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Exactly (doc_id long, text string); every other column is left behind,
     so extra columns never clash with an operator's own. Null text is empty."""

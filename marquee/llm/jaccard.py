@@ -43,8 +43,8 @@ LONGEST = 4  # largest number of prefix matches a document may ask for
 VERIFY_COST = 16.0  # of one verification, in postings met
 TOKEN_BITS = 40  # of a shingle hash, for frequencies: shared leading bits only add to them
 SALTS = 16  # parts that a document's verifications are dealt to
-OUT = "kind int, doc_id long, rid long, other long, n int, l int, data binary"
-_OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("other", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("data", pa.binary())])
+OUT = "kind int, doc_id long, rid long, other long, n int, l int, own int, data binary"
+_OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("other", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("own", pa.int32()), ("data", pa.binary())])
 _DOC, _POST, _SET = 0, 1, 2
 
 
@@ -151,7 +151,7 @@ def _postings(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
     block = _Block(table)
     rep = block.classes(replies["classes"])
     ids = block.doc_ids.to_pylist()
-    rows = [(_DOC, i, r, c, len(s), 0, None) for i, r, c, s in zip(ids, block.rids.tolist(), rep.tolist(), block.sets, strict=True)]
+    rows = [(_DOC, i, r, c, len(s), 0, 0, None) for i, r, c, s in zip(ids, block.rids.tolist(), rep.tolist(), block.sets, strict=True)]
     own = np.flatnonzero((rep == block.rids) & [len(s) > 0 for s in block.sets])
     if len(own):
         cat = np.concatenate([block.sets[r] for r in own]) >> U64(64 - TOKEN_BITS)
@@ -165,9 +165,10 @@ def _postings(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
             ell, length = choose_prefix(own_df[order].astype(np.float64), len(s))
             posted = [k for k in order[:length].tolist() if own_df[k] > 1]
             rid = int(block.rids[r])
-            rows += [(_POST, None, rid, int(s[k].astype(np.int64)), len(s), ell, None) for k in posted]
+            own_only = int(np.sum(own_df == 1))
+            rows += [(_POST, None, rid, int(s[k].astype(np.int64)), len(s), ell, own_only, None) for k in posted]
             if posted:
-                rows.append((_SET, None, rid, None, len(s), 0, blobs.pack(s >> U64(16), ascending=(0,))))
+                rows.append((_SET, None, rid, None, len(s), 0, own_only, blobs.pack(s >> U64(16), ascending=(0,))))
     cols = list(zip(*rows, strict=True)) or [[]] * len(_OUT)
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, _OUT.types, strict=True)], schema=_OUT)
 
@@ -195,9 +196,10 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return left.groupBy("a", "salt").cogroup(right.groupBy("to", "part")).applyInArrow(run, "a long, b long")
 
 
-def _close(n: str, m: str) -> F.Column:
-    """Sizes that allow a similarity of 4/5."""
-    return (F.col(n) * 5 >= F.col(m) * 4) & (F.col(m) * 5 >= F.col(n) * 4)
+def _possible(n: str, own_n: str, m: str, own_m: str) -> F.Column:
+    """Sizes that allow a similarity of 4/5: shingles that no other document has
+    are never shared, so at most min(n - own, m - own) are."""
+    return F.least(F.col(n) - F.col(own_n), F.col(m) - F.col(own_m)) * 9 >= (F.col(n) + F.col(m)) * 4
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -222,28 +224,37 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     df = exchange.reply(sent, _frequencies, shards)
     found = written(exchange.finish(blocked, {"classes": classes, "df": df}, _postings, OUT), "jaccard")
     rows = found.where(F.col("kind") == _DOC).select("doc_id", "rid", F.col("other").alias("rep"), F.col("n").alias("n_shingles"))
-    posts = found.where(F.col("kind") == _POST).select(F.col("other").alias("token"), "rid", "n", "l")
+    posts = found.where(F.col("kind") == _POST).select(F.col("other").alias("token"), "rid", "n", "l", "own")
     sets = found.where(F.col("kind") == _SET).select("rid", "data")
 
-    # star round: everyone against the first document of each posted shingle
-    heads = posts.groupBy("token").agg(F.min(F.struct("rid", "n")).alias("h"), F.count("*").alias("f")).where("f > 1")
+    # star round: everyone against the document of each posted shingle that has
+    # the fewest shingles of its own, the likeliest centre of a group of copies
+    heads = posts.groupBy("token").agg(F.min(F.struct("own", "rid", "n")).alias("h"), F.count("*").alias("f")).where("f > 1")
     star = posts.join(heads, "token").where(F.col("rid") != F.col("h.rid")).select(
-        F.col("h.rid").alias("a"), F.col("rid").alias("b"), F.col("h.n").alias("m"), "n"
+        F.col("h.rid").alias("a"), F.col("rid").alias("b"), F.col("h.n").alias("m"), F.col("h.own").alias("own_m"), "n", "own"
     )
-    star = written(star.where(_close("m", "n")).select("a", "b").distinct(), "star")
+    star = star.where(_possible("m", "own_m", "n", "own")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    star = written(star.distinct(), "star")
     links = written(_verify(star, sets), "links")
     label = written(components(links), "labels")
 
-    # multi-match round: only between components
+    # multi-match round: only between components. Two documents that each have
+    # over a ninth of their shingles to themselves cannot be linked, so one
+    # side of every pair is a core document, which has fewer.
     named = posts.join(label.withColumnRenamed("node", "rid"), "rid", "left")
-    named = named.withColumn("component", F.coalesce("component", "rid"))
-    mixed = named.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    named = named.withColumn("component", F.coalesce("component", "rid")).withColumn("core", F.col("own") * 9 <= F.col("n"))
+    mixed = named.groupBy("token").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.max("core").alias("z")
+    ).where("x <> y and z")
     named = written(named.join(mixed.select("token"), "token", "left_semi"), "mixed")
-    groups = named.select("token", "component").distinct()
-    across = groups.withColumnRenamed("component", "c").join(groups.withColumnRenamed("component", "d"), "token").where("c < d")
-    one = named.select("token", F.col("component").alias("c"), F.col("rid").alias("a"), F.col("n").alias("m"), F.col("l").alias("k"))
-    two = named.select("token", F.col("component").alias("d"), F.col("rid").alias("b"), "n", "l")
-    met = across.join(one, ["token", "c"]).join(two, ["token", "d"]).where(_close("m", "n"))
+    cores = named.where("core").select("token", F.col("component").alias("c")).distinct()
+    across = cores.join(named.select("token", F.col("component").alias("d")).distinct(), "token").where("c <> d")
+    one = named.where("core").select(
+        "token", F.col("component").alias("c"), F.col("rid").alias("a"), F.col("n").alias("m"), F.col("own").alias("own_m"), F.col("l").alias("k")
+    )
+    two = named.select("token", F.col("component").alias("d"), F.col("rid").alias("b"), "n", "own", "l", F.col("core").alias("both"))
+    met = across.join(one, ["token", "c"]).join(two, ["token", "d"])
+    met = met.where(_possible("m", "own_m", "n", "own") & (~F.col("both") | (F.col("a") < F.col("b"))))
     pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("k", "l")).alias("asked"))
     pairs = pairs.where("shared >= asked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(star, ["a", "b"], "left_anti"), "pairs")
