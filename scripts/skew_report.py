@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from marquee.operators import above_group_mean, group_list, number_rows  # noqa: E402
+from marquee.operators import above_group_mean, number_rows  # noqa: E402
 from marquee.session import build_session  # noqa: E402
 
 
@@ -56,11 +56,6 @@ def main() -> None:
     total_above = ours.count()
     out.append(("rows above the group mean", largest_share(naive, total_above), largest_share(ours, total_above)))
 
-    lists = group_list(data.select("g", "v", "id"), ["g"], "v", "vs", order=["v", "id"])
-    biggest_ours = lists.agg(F.max(F.size("vs"))).first()[0]
-    biggest_naive = data.groupBy("g").agg(F.size(F.collect_list("v")).alias("n")).agg(F.max("n")).first()[0]
-    out.append(("largest list built in one row (values)", biggest_naive / rows, biggest_ours / rows))
-
     print(f"rows: {rows:,}; one key holds {rows // 3:,} ({1 / 3:.0%})\n")
     print("| operator | naive window / collect | marquee |")
     print("|---|---|---|")
