@@ -94,22 +94,20 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     return written(windows.select("item_id", "size", "mark", text.alias("window")).distinct(), "items"), lengths
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit (words inside an
-    occurrence of an item window), n_items, items_sha256 (of those item_ids,
-    sorted as strings and joined by commas), contaminated.
+def _row_key() -> list[Column]:
+    """``k`` and ``h`` of a document row: its doc_id and a hash of its text."""
+    k = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("k")
+    return [k, F.xxhash64(_lowered("text")).alias("h")]
 
-    Null and empty texts have no words and no hits; null doc_ids are kept;
-    rows with equal doc_id and text share their result; an empty benchmark
-    leaves every document clean; other columns are ignored. Items with equal
-    text count each; null item_ids are not counted as items, though their
-    windows hit.
-    """
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*_row_key(), F.col("doc_id").cast("long").alias("doc_id"), _lowered("text").alias("text"))
+
+
+def _hit_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(k, h, n_hit, items) of the document rows that have a hit."""
     items, lengths = item_windows(benchmark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lowered("text").alias("text"))
-    keyed = rows.select(
-        F.coalesce("doc_id", F.lit(_NO_ID)).alias("k"), F.xxhash64("text").alias("h"), "doc_id", "text"
-    )
+    keyed = _keyed(docs)
 
     # pass 1: fingerprints that a document shares with the benchmark
     fingers = F.array_distinct(F.flatten(F.transform("marks", lambda m: m["mark"])))
@@ -139,12 +137,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     end = F.col("i") + F.col("size")
     new = F.greatest(F.lit(0), end - F.greatest(F.col("i"), F.coalesce(seen, F.lit(0))))
     covered = by_doc.select("k", "h", "items", new.cast("long").alias("new"))
-    per_doc = covered.groupBy("k", "h").agg(
+    return covered.groupBy("k", "h").agg(
         F.sum("new").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
 
-    counted = keyed.select("k", "h", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit (words inside an
+    occurrence of an item window), n_items, items_sha256 (of those item_ids,
+    sorted as strings and joined by commas), contaminated.
+
+    Null and empty texts have no words and no hits; null doc_ids are kept;
+    rows with equal doc_id and text share their result; an empty benchmark
+    leaves every document clean; other columns are ignored. Items with equal
+    text count each; null item_ids are not counted as items, though their
+    windows hit.
+    """
+    per_doc = _hit_rows(docs, benchmark)
+    counted = _keyed(docs).select("k", "h", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
     joined = counted.join(per_doc, ["k", "h"], "left")
     names = F.coalesce(F.array_join("items", ","), F.lit(""))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
@@ -159,6 +170,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any hit, all their columns unchanged."""
-    bad = decontaminate(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]), "left_anti")
+    """The documents without any hit, all their columns unchanged. Each row goes
+    or stays by its own text, also where doc_ids are null or shared."""
+    bad = _hit_rows(docs, benchmark).select(F.col("k").alias("bad_k"), F.col("h").alias("bad_h"))
+    k, h = _row_key()
+    return docs.join(bad, (k == bad["bad_k"]) & (h == bad["bad_h"]), "left_anti")

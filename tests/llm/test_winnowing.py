@@ -71,6 +71,14 @@ def test_edges(spark):
     assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [6]
 
 
+def test_each_row_is_judged_by_its_own_text(spark):
+    """A contaminated row takes no clean row with it, without doc_id or with the same one."""
+    leak, clean = items()[0][1], "nothing of any benchmark"
+    rows = [(None, leak, 1), (None, clean, 2), (None, None, 3), (5, leak, 4), (5, clean, 5), (5, clean, 6), (6, leak.upper(), 7), (7, clean, 8)]
+    left = w.clean_documents(spark.createDataFrame(rows, SCHEMA + ", k long"), spark.createDataFrame(items(), ITEMS))
+    assert sorted((r.k, r.doc_id, r.text) for r in left.collect()) == sorted((k, d, t) for d, t, k in rows if k in (2, 3, 5, 6, 8))
+
+
 def test_native(spark):
     plan = w.decontaminate(spark.createDataFrame(real(5), SCHEMA), spark.createDataFrame(items(), ITEMS))
     text = plan._jdf.queryExecution().toString()
