@@ -6,19 +6,25 @@ a document with a smaller doc_id.
 1. Blocks ask hash shards about the hashes of all their windows. For a window
    found in two or more documents the answer is its owner: the smallest doc_id.
 2. Runs of recurring windows become passages (in the owner) and claims (in
-   later documents), as words. Both go to the owner's shard; a claim that many
-   documents of a block share is sent once.
+   later documents), as words. Both go to the shard of their owner and level; a
+   claim that many documents of a block share is sent once. The level of a
+   window says how many texts hold it: beyond ``SHARED`` the claims are dealt to
+   two, four, ... cells of other shards, and the owner's passage goes to each.
 3. A shard compiles an Aho-Corasick automaton over the windows of its passages,
    word by word, and streams the claims through it. Every match is a confirmed
    occurrence, so equal hashes of unequal words remove nothing.
 4. The confirmed spans return to their blocks and the words are cut.
 
 Automata are as large as one shard's passages; shards follow the session's
-shuffle setting.
+shuffle setting. A cell holds about ``SHARED`` texts' claims on one owner,
+however many near copies there are; all agree on the level of a window, since
+one shard counts it. An owner is a doc_id: rows that share one (or have none)
+share its cells.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +33,10 @@ from pyspark.sql import DataFrame
 
 from marquee.llm import blobs, exchange
 from marquee.llm.common import partitions
-from marquee.llm.textnp import U64, Words, gram_hashes, gram_starts, mix
+from marquee.llm.textnp import U64, Words, gram_hashes, gram_starts, mix, span_hashes
 
 WINDOW = 13
+SHARED = 64  # texts that claim a window in one cell
 RESULT = "doc_id long, n_words long, n_removed long, kept string"
 _NO_ID = -(1 << 62)  # stands for a null doc_id: before all others
 _NONE = (1 << 63) - 1
@@ -49,40 +56,56 @@ class Windows:
         self.hashes = hashes[self.starts] if len(self.starts) else np.zeros(0, np.uint64)
         self.row = np.searchsorted(self.words.offsets, self.starts, side="right") - 1
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(keys, smallest doc_id, whether in several documents); rows ascend
-        by doc_id, so the first place of a key is its smallest."""
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys, smallest doc_id, whether in several documents, number of
+        different texts); rows ascend by doc_id, so the first place of a key is
+        its smallest."""
         order = np.argsort(self.hashes, kind="stable")
         ranked = self.hashes[order]
         first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else order
         ids = self.ids[self.row[order]]
         last = np.concatenate([first[1:], [len(ranked)]]) - 1 if len(first) else first
-        return ranked[first], ids[first], ids[last] != ids[first]
+        row = self.row[order]
+        counted = self._news()[row]
+        counted[1:] &= (ranked[1:] != ranked[:-1]) | (row[1:] != row[:-1])
+        texts = np.add.reduceat(counted, first, dtype="<u4") if len(first) else np.zeros(0, "<u4")
+        return ranked[first], ids[first], ids[last] != ids[first], texts
+
+    def _news(self) -> np.ndarray:
+        """Which rows are the first of the block with their text."""
+        offsets = self.words.text_offsets
+        _, first = np.unique(span_hashes(self.words.data, offsets[:-1], offsets[1:]), return_index=True)
+        news = np.zeros(len(offsets) - 1, dtype=bool)
+        news[first] = True
+        return news
 
 
 def _owners(keys: list[np.ndarray], values: list[list[np.ndarray]], blocks: list[int]) -> list[list[np.ndarray]]:
     """For each block: which keys recur (in two or more documents), and the
-    owners of those."""
+    owners and levels of those."""
     size = [len(k) for k in keys]
-    every, ids, many = (np.concatenate(x) for x in (keys, [v[0] for v in values], [v[1] for v in values]))
+    every, ids, many, texts = (np.concatenate(x) for x in (keys, *([v[k] for v in values] for k in range(3))))
     order = np.argsort(every, kind="stable")
-    ranked, ids, many = every[order], ids[order], many[order]
+    ranked, ids, many, texts = every[order], ids[order], many[order], texts[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     low, high = np.minimum.reduceat(ids, first), np.maximum.reduceat(ids, first)
     recurs = (low != high) | np.logical_or.reduceat(many, first)
     group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(ranked))))
-    flag, owner = np.empty(len(every), bool), np.empty(len(every), np.int64)
-    flag[order], owner[order] = recurs[group], low[group]
+    cells = np.maximum(np.add.reduceat(texts, first, dtype=np.int64) / SHARED, 1)
+    levels = np.ceil(np.log2(cells)).astype(np.uint8)
+    flag, owner, level = np.empty(len(every), bool), np.empty(len(every), np.int64), np.empty(len(every), np.uint8)
+    flag[order], owner[order], level[order] = recurs[group], low[group], levels[group]
     at = np.cumsum(size)[:-1]
-    return [[f, o[f]] for f, o in zip(np.split(flag, at), np.split(owner, at), strict=True)]
+    return [[f, o[f], x[f]] for f, o, x in zip(*(np.split(a, at) for a in (flag, owner, level)), strict=True)]
 
 
-def _runs(member: np.ndarray, windows: Windows, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last window of each run: neighbours in one row with one owner."""
+def _runs(member: np.ndarray, windows: Windows, owner: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each run: neighbours in one row with one owner and level."""
     k = np.flatnonzero(member)
     if not len(k):
         return k, k
     joined = (np.diff(k) == 1) & (windows.row[k[1:]] == windows.row[k[:-1]]) & (owner[k[1:]] == owner[k[:-1]])
+    joined &= level[k[1:]] == level[k[:-1]]
     cut = np.flatnonzero(~joined)
     return k[np.concatenate([[0], cut + 1])], k[np.concatenate([cut, [len(k) - 1]])]
 
@@ -92,32 +115,44 @@ def _text(words: Words, a: int, b: int) -> bytes:
     return b" ".join(words.data[words.starts[a] : words.ends[b]].tobytes().split())
 
 
+def _shards(owner: int, level: int, cells: np.ndarray, shards: int) -> list[int]:
+    """The shards of an owner's cells at a level; cell 0 of level 0 goes by the owner alone."""
+    key = np.array([owner], np.int64).view(np.uint64) + cells.astype(np.uint64) * U64(0x9E3779B97F4A7C15) + U64(level << 56)
+    return exchange.shard_of(mix(key), shards).tolist()
+
+
 def _claims(table: pa.Table, answer: pa.Table, size: int, shards: int) -> pa.Table:
     block, windows = exchange.block_of(table), Windows(exchange.ordered(table), size)
-    keys, _, _ = windows.distinct()
+    keys = np.unique(windows.hashes)
     given = exchange.answers(answer)
     if not given or not given[0].any():
         return exchange.routed(iter(()))
-    flag, owners = given
-    of_key = np.full(len(keys), _NONE)
-    of_key[flag] = owners
+    flag, owners, levels = given
+    of_key, level_of = np.full(len(keys), _NONE), np.zeros(len(keys), np.uint8)
+    of_key[flag], level_of[flag] = owners, levels
     place = np.searchsorted(keys, windows.hashes)
-    owner, mine = of_key[place], windows.ids[windows.row]
+    owner, level, mine = of_key[place], level_of[place], windows.ids[windows.row]
     passages, claims = {}, {}
-    seen: dict[tuple[int, bytes], int] = {}
+    seen: dict[tuple[int, int, bytes], int] = {}
+    homes: dict[tuple[int, int], list[int]] = {}
     for member, ours in ((owner == mine, True), (owner < mine, False)):
-        for a, b in zip(*(x.tolist() for x in _runs(member, windows, owner)), strict=True):
+        for a, b in zip(*(x.tolist() for x in _runs(member, windows, owner, level)), strict=True):
             raw, who = _text(windows.words, windows.starts[a], windows.starts[b] + size - 1), int(owner[a])
-            shard = int(exchange.shard_of(mix(np.array([who], np.int64).view(np.uint64)), shards)[0])
+            deep = min(int(level[a]), (4 * shards).bit_length())  # more cells than that reach no further shard
+            if (who, deep) not in homes:
+                homes[who, deep] = _shards(who, deep, np.arange(1 << deep), shards)
+            home = homes[who, deep]
             if ours:
-                passages.setdefault(shard, {})[who, raw] = None
+                for shard in dict.fromkeys(home):
+                    passages.setdefault(shard, {})[who, raw] = None
             else:
+                shard = home[zlib.crc32(raw, block) % len(home)] if deep else home[0]
                 row = windows.row[a]
                 at = int(windows.starts[a] - windows.words.offsets[row])
                 held = claims.setdefault(shard, ([], []))
-                number = seen.get((who, raw))
+                number = seen.get((shard, who, raw))
                 if number is None:
-                    number = seen[who, raw] = len(held[0])
+                    number = seen[shard, who, raw] = len(held[0])
                     held[0].append((who, raw))
                 held[1].append((number, int(row), at))
 
@@ -237,8 +272,8 @@ def remove_repeated_phrases(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     shards = partitions(docs.sparkSession)
 
     def keys(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-        found, ids, many = Windows(exchange.ordered(table), size).distinct()
-        return found, [ids, many]
+        found, *values = Windows(exchange.ordered(table), size).distinct()
+        return found, values
 
     owners = exchange.ask(blocked, keys, _owners, shards)
     sent = exchange.finish(blocked, {"owners": owners}, lambda t, r: _claims(t, r["owners"], size, shards), exchange.ROUTED)

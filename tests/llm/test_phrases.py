@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
-from marquee.llm import exchange, phrases
+from marquee.llm import blobs, exchange, phrases
 from tests.llm import brute
 from tests.llm.data import SCHEMA, awkward, real
 
@@ -64,3 +66,23 @@ def test_edges(spark, size):
     # a null doc_id comes before all others; equal ids never remove from each other
     assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in got) == [(0, 20, 0), (2, 20, 20), (2, 20, 20), (3, 0, 0)]
     assert exchange.ROUTED.startswith("shard")
+
+
+def test_near_copies_spread(spark, monkeypatch):
+    """The claims of many near copies on one owner go to many shards, and all
+    are confirmed."""
+    r = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    docs = [(1, " ".join(base))]
+    for k in range(1500):
+        near = list(base)
+        for _ in range(3):
+            near[r.randrange(len(near))] = f"e{r.randrange(10**6)}"
+        docs.append((100 + k, " ".join(near)))
+    made, finish = [], exchange.finish
+    monkeypatch.setattr(exchange, "finish", lambda *a: made.append(finish(*a)) or made[-1])
+    check(spark, docs)
+    sent: dict[int, int] = {}
+    for row in made[0].collect():
+        sent[row.shard] = sent.get(row.shard, 0) + int(blobs.unpack(row.data)[4].sum())
+    assert sum(sent.values()) > 500_000 and max(sent.values()) < 0.5 * sum(sent.values())
