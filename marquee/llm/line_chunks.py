@@ -6,6 +6,12 @@ the boundaries beside them. Chunks of two or more lines with text are compared
 over the whole corpus: hash shards find the repeated ones and name the first
 document that holds each; that document sends the chunk's bytes once, all
 others are compared with them, and only byte-equal repeats are removed.
+
+One boundary function misses the repeated runs in which no whole chunk falls.
+With ``every_pair`` the chunks are instead all pairs of neighbouring lines with
+text, and the white lines between them: what any boundaries could put at the
+ends of a chunk. Every repeated run of two or more such lines is then removed
+whole, wherever it begins.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ _NO_ID = -(1 << 62)
 class Chunks:
     """The chunks of a block's texts, in row order."""
 
-    def __init__(self, texts: pa.ChunkedArray):
+    def __init__(self, texts: pa.ChunkedArray, every_pair: bool = False):
         data, offsets = buffer(texts)
         self.data = data
         breaks = np.flatnonzero(data == 10)
@@ -47,7 +53,25 @@ class Chunks:
         self.line_ends = ends[np.lexsort((ends, end_row))]
         inked = np.concatenate([[0], np.cumsum(~SPACES[data])])
         self.inked = inked[self.line_ends] > inked[self.line_starts]
-        h = span_hashes(data, self.line_starts, self.line_ends)
+        if every_pair:
+            self._pairs()
+        else:
+            self._cut()
+        starts, ends = self.line_starts[self.first_line], self.line_ends[self.last_line]
+        self.hashes = span_hashes(data, starts, ends)[self.eligible]
+
+    def _pairs(self) -> None:
+        """Chunks of a line with text and the next one of the same row. They
+        overlap, but both their starts and their ends ascend."""
+        lines = np.flatnonzero(self.inked)
+        same = np.flatnonzero(self.line_row[lines[1:]] == self.line_row[lines[:-1]])
+        self.first_line, self.last_line = lines[same], lines[same + 1]
+        self.row = self.line_row[self.first_line]
+        self.eligible = np.arange(len(same))
+
+    def _cut(self) -> None:
+        """Chunks between the places where the rolling hash has zero low bits."""
+        h = span_hashes(self.data, self.line_starts, self.line_ends)
         first = np.concatenate([[True], self.line_row[1:] != self.line_row[:-1]]) if len(h) else np.zeros(0, bool)
         place = np.arange(len(h)) - np.maximum.accumulate(np.where(first, np.arange(len(h)), 0)) if len(h) else first
         roll, factor = h.copy(), U64(1)
@@ -62,7 +86,6 @@ class Chunks:
         self.row = self.line_row[last]
         lines = np.concatenate([[0], np.cumsum(self.inked)])
         self.eligible = np.flatnonzero(lines[self.last_line + 1] - lines[self.first_line] >= 2)
-        self.hashes = span_hashes(data, self.line_starts[self.first_line], self.line_ends[self.last_line])[self.eligible]
 
     def text(self, chunk: int) -> bytes:
         return self.data[self.line_starts[self.first_line[chunk]] : self.line_ends[self.last_line[chunk]]].tobytes()
@@ -72,9 +95,9 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").fill_null(_NO_ID).to_numpy()
 
 
-def _keys(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+def _keys(table: pa.Table, every_pair: bool) -> tuple[np.ndarray, list[np.ndarray]]:
     table = exchange.ordered(table)
-    chunks, ids = Chunks(table.column("text")), _ids(table)
+    chunks, ids = Chunks(table.column("text"), every_pair), _ids(table)
     found, first, n = np.unique(chunks.hashes, return_index=True, return_counts=True)
     return found, [ids[chunks.row[chunks.eligible[first]]], n > 1]
 
@@ -94,20 +117,23 @@ def _owners(keys: list[np.ndarray], values: list[list[np.ndarray]], blocks: list
     return [[c] for c in np.split(code, np.cumsum(size)[:-1])]
 
 
-def _repeats(table: pa.Table, codes: pa.Table) -> tuple[Chunks, np.ndarray, np.ndarray]:
+def _repeats(table: pa.Table, codes: pa.Table, every_pair: bool) -> tuple[Chunks, np.ndarray, np.ndarray]:
     """Of a block in its order: its chunks, which eligible ones are repeated, and
     which of these are the corpus's first."""
-    chunks = Chunks(table.column("text"))
+    chunks = Chunks(table.column("text"), every_pair)
     found, first, back = np.unique(chunks.hashes, return_index=True, return_inverse=True)
     given = exchange.answers(codes)
     code = given[0] if given else np.zeros(0, np.uint8)
     repeated = code[back] > 0 if len(found) else np.zeros(0, bool)
     origin = np.zeros(len(chunks.hashes), dtype=bool)
     origin[first[code == 1]] = True
+    # a line that stands twice in a row: the pair that shares a line with the first one is part of it
+    shares = chunks.first_line[chunks.eligible[1:]] == chunks.last_line[chunks.eligible[:-1]]
+    origin[1:] |= origin[:-1] & shares & (chunks.hashes[1:] == chunks.hashes[:-1])
     return chunks, repeated, origin
 
 
-def remove_repeated_chunks(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeated_chunks(docs: DataFrame, extra: tuple[str, ...] = (), every_pair: bool = False) -> DataFrame:
     """Every row with its repeated chunks cut out: doc_id, text (the lines left),
     n_lines, n_removed, and the ``extra`` columns as they came.
 
@@ -115,15 +141,17 @@ def remove_repeated_chunks(docs: DataFrame, extra: tuple[str, ...] = ()) -> Data
     document goes too. Null text is empty; null doc_ids come first; repeated
     rows lose their chunks from the second row on; lines of white space alone
     never make a chunk eligible, and single lines are left alone; an empty
-    table gives no rows; columns not asked for are left behind.
+    table gives no rows; columns not asked for are left behind. Repeats are
+    judged on the input. ``every_pair`` finds all repeated runs; without it,
+    those that hold a whole chunk.
     """
     blocked, back = exchange.blocks(docs, extra)
     shards = partitions(docs.sparkSession)
-    codes = exchange.ask(blocked, _keys, _owners, shards)
+    codes = exchange.ask(blocked, lambda t: _keys(t, every_pair), _owners, shards)
 
     def claim(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
         block = exchange.block_of(table)
-        chunks, repeated, origin = _repeats(exchange.ordered(table), replies["codes"])
+        chunks, repeated, origin = _repeats(exchange.ordered(table), replies["codes"], every_pair)
         sent: dict[int, list[tuple[int, bool, bytes]]] = {}
         seen = set()
         for k in np.flatnonzero(repeated).tolist():
@@ -161,7 +189,7 @@ def remove_repeated_chunks(docs: DataFrame, extra: tuple[str, ...] = ()) -> Data
 
     def cut(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
         table = exchange.ordered(table)
-        chunks, repeated, origin = _repeats(table, replies["codes"])
+        chunks, repeated, origin = _repeats(table, replies["codes"], every_pair)
         given = exchange.answers(replies["equal"])
         gone = chunks.eligible[repeated & ~origin & np.isin(chunks.hashes, given[0] if given else [])]
         dropped = np.zeros(len(chunks.line_row) + 1, dtype=np.int64)

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from marquee.llm import line_chunks as lc
+from marquee.llm import queries
 from marquee.llm.textnp import U64, buffer, mix, span_hashes
 from tests.llm.data import SCHEMA, awkward, real
 
@@ -90,3 +91,39 @@ def test_edges(spark):
     by = {r.x0: r for r in got}
     assert by["r"].n_removed == 0 and by["p"].n_removed > 0 and by["q"].n_removed > 0
     assert (by["s"].text, by["s"].n_lines) == ("", 1)
+
+
+def repeated_runs(docs):
+    """doc_id -> (lines left, lines, lines gone): every run of two or more lines
+    with text that stands earlier, by (doc_id, place), is gone."""
+    seen, out = {}, {}
+    for d, text in sorted(docs):
+        lines = (text or "").split("\n")
+        ink = [k for k, x in enumerate(lines) if x.strip(" \t\n\x0b\f\r")]
+        gone = set()
+        for a, b in zip(ink, ink[1:], strict=False):
+            key = "\n".join(lines[a : b + 1])
+            # a first occurrence does not lose its own second line
+            if seen.setdefault(key, (d, a, b)) != (d, a, b) and seen[key] != (d, a - (b - a), a):
+                gone.update(range(a, b + 1))
+        out[d] = "\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone)
+    return out
+
+
+def check_runs(spark, docs):
+    got = lc.remove_repeated_chunks(spark.createDataFrame(docs, SCHEMA), every_pair=True).collect()
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in got} == repeated_runs(docs)
+
+
+def test_every_repeated_run_goes(spark):
+    check_runs(spark, real())
+    check_runs(spark, [(d, t or "") for d, t in awkward()])
+    check_runs(spark, [(1, "x\nx"), (2, "a\nx\nx\nx\nx\nb"), (3, "a\n\nx"), (4, "a\n\nx\nc")])
+
+
+def test_query_finds_short_runs_in_any_context(spark, tmp_path):
+    """Headers of two lines below a line of their own: no boundary before them is shared."""
+    docs = [(k, f"title {k}\nfirst line of the header\nsecond line of the header\nbody {k}") for k in range(40)]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_removed for r in queries.op4_line_chunks(spark, str(tmp_path)).collect()}
+    assert got == {k: 2 if k else 0 for k in range(40)}
