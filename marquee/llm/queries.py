@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
+    alignment,
     bpe,
+    centroids,
     importance,
     jaccard,
     line_chunks,
+    mixing,
     ngram_trie,
+    oracle,
     packing,
     phrases,
     rules,
@@ -83,6 +87,22 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in a mix of their sources at 150 % of all words."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole vectors in 16 clusters after three rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3).drop("n_scans")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two tokenizations, aligned, with corpus-wide pair counts."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.aligned(docs, bpe.tokenizer_path(), bpe.tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,7 +116,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_phrases,
         op9_jaccard,
         op10_winnowing,
+        op11_mixing,
+        op12_centroids,
+        op13_alignment,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL

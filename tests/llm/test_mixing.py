@@ -1,0 +1,125 @@
+"""Operator 11 against plain Python, and its SQL."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+from fractions import Fraction
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from marquee.llm import mixing, queries
+from tests.llm.data import awkward, real
+from tests.oracle_check import compare
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def targets(sizes, weights=(3, 1, 2), share=Fraction(3, 2), most=2):
+    """Shares of a dict source -> size, step by step as the rule is told."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in sizes if s is None]
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
+    given_, open_, left = {}, set(sizes), share * sum(sizes.values())
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = {s for s in open_ if left * weight[s] / total > most * sizes[s]}
+        if not over:
+            return given_ | {s: left * weight[s] / total for s in open_}
+        for s in over:
+            given_[s] = Fraction(most * sizes[s])
+        left -= sum(given_[s] for s in over)
+        open_ -= over
+    return given_
+
+
+def brute(rows):
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += words(t)
+    want, out = targets(sizes), []
+    for source in sizes:
+        budget = int((want[source] + Fraction(1, 2)) // 1)
+        mine = sorted(
+            (hashlib.md5(f"mix:{'' if d is None else d}:{t or ''}".encode()).hexdigest(), d, words(t)) for d, t, s in rows if s == source
+        )
+        before = 0
+        for _, d, n in mine:
+            taken = 0
+            if sizes[source]:
+                whole, rest = divmod(budget, sizes[source])
+                taken = whole * n + min(max(rest - before, 0), n)
+            out.append((d, n, sizes[source], pytest.approx(float(want[source])), taken, source))
+            before += n
+    return out
+
+
+def run(spark, rows, schema=SCHEMA):
+    return [tuple(r) for r in mixing.mix(spark.createDataFrame(rows, schema)).collect()]
+
+
+def order(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, str(r[5]), r[1], r[4]))
+
+
+def sourced(rows):
+    return [(d, t, [None, "b", "a", "", "é", "hot", "hot", "hot"][(d or 0) % 8]) for d, t in rows]
+
+
+@pytest.mark.parametrize("rows", [sourced(real()), sourced(awkward()), sourced(real(30)) + [(9, "a b", "tiny"), (9, "a b", "tiny"), (None, "c d e", "a"), (None, None, None)]])
+def test_brute_force(spark, rows):
+    got = run(spark, rows)
+    assert order(got) == order(brute(rows))
+    taken, target = defaultdict(int), {}
+    for _, size, _, t, n, source in got:
+        assert 0 <= n <= 2 * size
+        taken[source] += n
+        target[source] = t
+    assert all(abs(taken[s] - target[s]) <= 0.5 for s in taken)
+
+
+def test_empty_and_wordless(spark):
+    assert run(spark, []) == []
+    assert sorted(run(spark, [(1, None, "a"), (2, " \t", None)])) == [(1, 0, 0, 0.0, 0, "a"), (2, 0, 0, 0.0, 0, None)]
+
+
+def test_clashing_columns_and_layout(spark):
+    rows = sourced(real(60))
+    wide = spark.createDataFrame([(*r, "x", 5, "g") for r in rows], SCHEMA + ", key string, size int, grp string")
+    want = order(run(spark, rows))
+    assert order([tuple(r) for r in mixing.mix(wide.repartition(7)).collect()]) == want
+
+
+def test_one_source_spans_ranges(spark):
+    rows = [(k, "w " * (k % 9 + 1), "hot") for k in range(2000)]
+    placed, offsets = mixing.prefix.ranged(mixing.sized(spark.createDataFrame(rows, SCHEMA), "mix"), "grp", ("key",), "size", "t")
+    spread = [r["count"] for r in placed.groupBy("part").count().collect()]
+    assert len(spread) > 4 and max(spread) < 2 * 2000 / len(spread)
+    assert offsets.count() == len(spread)
+
+
+def test_many_tiny_sources(spark):
+    rows = [(k, "w " * (1 + k % 5), f"s{k:03d}") for k in range(150)] + [(999, "big " * 500, "s0005")]
+    assert order(run(spark, rows)) == order(brute(rows))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab \n\t\x0b\x85é"), max_size=12), max_size=12), st.integers(1, 7))
+def test_word_counts(texts, span):
+    kept, mixing._SLICE = mixing._SLICE, span
+    try:
+        assert mixing.word_counts(pa.array(texts, pa.string())).tolist() == [words(t) for t in texts]
+    finally:
+        mixing._SLICE = kept
+
+
+def test_query_equals_sql(spark):
+    got = compare(spark, "op11_mixing", queries.op11_mixing, queries.ORACLE_SQL["op11_mixing"], "/root/testdata/sf0.01")
+    assert "error" not in got and got["spark_rows"] == 1000
