@@ -5,11 +5,13 @@
     python -m marquee preview --dumps DIR [--rows 5]
     python -m marquee export --dumps DIR --out DIR
     python -m marquee convert --dumps DIR --out DIR   (dumps -> Parquet, once)
+    python -m marquee convert --dumps DIR --out DIR --buckets 200   (laid out by join key)
     python -m marquee audit --dumps DIR                (rows and unparsable rows per dump)
-    python -m marquee explain --parquet DIR S5 M3      (physical plans; only numbering stages run)
+    python -m marquee explain --parquet DIR S5 M3      (physical plans; nothing runs)
 
 ``--dumps`` reads the seven tab-separated dumps (default: the current folder);
-``--parquet`` reads ``<table>.parquet`` directories instead. Results are shown with ``show`` (only
+``--parquet`` reads ``<table>.parquet`` directories instead, ``--bucketed`` what
+``convert --buckets`` wrote. Results are shown with ``show`` (only
 the first rows reach the driver) followed by a row-count job.
 """
 
@@ -31,6 +33,8 @@ STATISTICS = ("ST1", "ST2", "ST3", "ST4", "ST5", "ST6")
 def _catalog(spark, args) -> MovieCatalog:
     if args.parquet:
         return MovieCatalog.from_parquet(spark, args.parquet)
+    if args.bucketed:
+        return MovieCatalog.from_bucketed(spark, args.bucketed)
     return MovieCatalog.from_tsv(spark, args.dumps)
 
 
@@ -49,12 +53,14 @@ def main(argv: list[str] | None = None) -> int:
     src = parser.add_mutually_exclusive_group()
     src.add_argument("--dumps", help="folder with the seven .tsv dumps (default: the current folder)")
     src.add_argument("--parquet", help="folder with <table>.parquet")
+    src.add_argument("--bucketed", help="folder that convert --buckets wrote")
+    parser.add_argument("--buckets", type=int, default=None, help="convert: buckets per table (default: plain Parquet)")
     parser.add_argument("--out", help="output folder for export")
     parser.add_argument("--rows", type=int, default=None)
     parser.add_argument("--no-count", action="store_true")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
-    if not args.parquet and not args.dumps:
+    if not args.parquet and not args.dumps and not args.bucketed:
         args.dumps = "."  # the dumps next to where the command runs, like the original scripts
 
     owned = SparkSession.getActiveSession() is None  # stop only a session this command started
@@ -86,13 +92,17 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "convert":
         if not args.out:
             parser.error("convert needs --out")
-        for name, path in cat.write_parquet(args.out).items():
-            print(f"{name} -> {path}")
+        if args.buckets:
+            for name in cat.write_bucketed(args.out, args.buckets).tables():
+                print(f"{name} -> {args.out} in {args.buckets} buckets")
+        else:
+            for name, path in cat.write_parquet(args.out).items():
+                print(f"{name} -> {path}")
     else:
         if not args.out:
             parser.error("export needs --out")
         for name, path in movies.x1_export(cat, args.out).items():
-            print(f"{name} -> {path}")
+            print(f"{name} -> {path} ({path.rows} rows)")
     if owned:
         spark.stop()
     return 0

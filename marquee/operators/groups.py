@@ -1,8 +1,12 @@
 """Group-relative selection and ordered group lists.
 
 ``above_group_mean`` replaces ``avg(...) OVER (PARTITION BY key)`` + filter:
-the window puts every row of a group in one task; here the group statistics
-are a map-side-combined aggregate (one row per group) joined back.
+the window puts every row of a group in one task. Here the rows are dealt once,
+by (group, part), where a row's part follows from a hash of its values; partial
+sums per (group, part) are taken from the dealt rows, merged per group, and
+joined back to the same parts. The input is computed and shuffled once (Spark
+reuses the exchange), and a group that holds a third of the rows spans all
+partitions.
 
 ``group_list`` gives a group's values in order as one row per value, so its
 shape never depends on how large a group is and no list is built in a task.
@@ -37,32 +41,31 @@ def above_group_mean(
     """
     if not keys:
         raise ValueError("above_group_mean needs at least one group key")
-    aliases = {k: f"__g{i}" for i, k in enumerate(keys)}
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.coalesce(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)), F.lit(0))  # never NULL
+    group = F.struct(*[F.col(f"`{k}`") for k in keys])  # equal with the same NULLs
+    # the part is an expression of all columns, so both uses below read one and the same exchange
+    dealt = df.repartition(parts, group, part).withColumn("__group", group).withColumn("__part", part)
     if exact_scale is None:
-        aggs = [F.avg(F.col(value)).alias("__mean")]
+        v = F.col(f"`{value}`").cast("double")
+        sums = [F.sum(v).alias("__sum"), F.count(v).alias("__cnt")]
     else:
-        aggs = [
-            F.sum(fixed_point(value, exact_scale)).alias("__sum"),
-            F.count(F.col(value)).alias("__cnt"),
-        ]
-    stats = df.groupBy(*[F.col(k).alias(a) for k, a in aliases.items()]).agg(*aggs)
-
-    cond = None
-    for k, a in aliases.items():
-        c = df[k].eqNullSafe(stats[a])
-        cond = c if cond is None else cond & c
-    joined = df.join(stats, cond, "inner")
+        v = fixed_point(value, exact_scale)
+        sums = [F.sum(v).alias("__sum"), F.count(F.col(f"`{value}`")).alias("__cnt")]
+    partial = dealt.groupBy("__group", "__part").agg(*sums)
+    merged = partial.groupBy("__group").agg(F.sum("__sum").alias("__total"), F.sum("__cnt").alias("__n"))
+    told = partial.join(merged, "__group").select("__group", "__part", "__total", "__n")
+    joined = dealt.join(told, ["__group", "__part"])
 
     if exact_scale is None:
-        keep = F.col(value) > F.col("__mean")
-        mean = F.col("__mean")
+        mean = F.col("__total") / F.when(F.col("__n") > 0, F.col("__n"))
+        keep = F.col(f"`{value}`") > mean
     else:
-        scaled = fixed_point(value, exact_scale).cast("decimal(38,0)")
-        keep = scaled * F.col("__cnt") > F.col("__sum").cast("decimal(38,0)")
-        mean = mean_from("__sum", "__cnt", exact_scale)
-    out = joined.filter(keep)
+        scaled = v.cast("decimal(38,0)")
+        keep = scaled * F.col("__n") > F.col("__total").cast("decimal(38,0)")
+        mean = mean_from("__total", "__n", exact_scale)
     extra = [mean.alias(mean_name)] if mean_name else []
-    return out.select(*[df[c] for c in df.columns], *extra)
+    return joined.filter(keep).select(*[F.col(f"`{c}`") for c in df.columns], *extra)
 
 
 def group_list(

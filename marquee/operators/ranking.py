@@ -9,19 +9,18 @@ without sending a group (or everything) to one task. A window
 ``row_number() OVER (ORDER BY ...)`` with no or a constant partition key runs
 in a single task; instead:
 
-1. sort with range partitioning on (keys, order): a hot group is spread over
-   consecutive partitions;
-2. tag each row with its partition id and a within-partition position and
-   cut lineage with a reliable checkpoint, so re-running a lost task cannot
-   move a row to another partition or position;
-3. per (partition, group): count and first position (at most
-   groups + partitions rows), and a running sum of counts over earlier
-   partitions of the same group -> offset;
-4. join the offsets back: number = offset + position - first position + 1.
-
-The checkpoint is the one job that runs while the plan is built; without it a
-retried task could deal rows out differently and numbers would repeat. It needs
-``spark.checkpoint.dir``.
+1. range bounds are quantiles of a sample of the sort keys (``operators.ranges``):
+   a scalar subquery that is computed when the query runs and is the same
+   whenever it is computed, since rows are sampled by a hash of their keys;
+2. every row finds its range by binary search among the bounds, so a retried
+   task cannot move a row, and a hot group spans many ranges;
+3. exact counts per (group, range) and a running sum over the group's earlier
+   ranges give each range's offset (at most groups + ranges rows);
+4. a window over (group, range) ranks the rows of one range, and the offset is
+   added: rows are shuffled once.
+
+No job runs while the plan is built, and nothing is stored: the input is read
+three times (sample, counts, rows).
 
 With ``limit=N`` only numbers 1..N are wanted: a partial top-N per group, or
 ``orderBy().limit(N)`` globally, replaces the full sort.
@@ -35,9 +34,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.util import as_cols
-from marquee.session import checkpoint
+from marquee.operators.ranges import sort_keys, with_range
 
-_PID, _POS, _CNT, _FIRST, _OFF = "__pid", "__pos", "__cnt", "__first", "__offset"
+_GROUP, _RANGE, _CNT, _OFF, _POS = "__group", "__range", "__cnt", "__offset", "__pos"
 
 
 def top_n_per_group(
@@ -73,7 +72,9 @@ def number_rows(
     """Append ``name`` (BIGINT): 1, 2, ... in ``order`` within each ``keys`` group.
 
     Same values as ``row_number() OVER (PARTITION BY keys ORDER BY order)``
-    when ``order`` is total; computed without a single-task window.
+    when ``order`` is total; computed without a single-task window. ``order``
+    holds column names, or columns by name with ``.asc()``, ``.desc()`` and their
+    NULL variants.
 
     ``limit=N`` keeps only numbers 1..N (a top-N report): per group this is a
     partial top-N; globally ``orderBy().limit(N)`` keeps N rows per task and
@@ -86,34 +87,21 @@ def number_rows(
             return ranked.withColumn(name, F.col("__rank").cast("bigint")).drop("__rank")
         top = df.orderBy(*as_cols(order)).limit(limit)
         return top.withColumn(name, F.row_number().over(Window.orderBy(*as_cols(order))).cast("bigint"))
-    sort_spec = [F.col(k).asc_nulls_first() for k in keys] + as_cols(order)
-    staged = checkpoint(
-        df.orderBy(*sort_spec)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id())
-    )
-
-    spans = staged.groupBy(_PID, *keys).agg(
-        F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST)
-    )
-    earlier = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID).rowsBetween(
+    spec = sort_keys(order, df.columns)
+    ranged = with_range(df, [*sort_keys(keys, df.columns), *spec], _RANGE)
+    # a struct of the keys is never NULL and equals another with the same NULLs
+    group = F.struct(*[F.col(f"`{k}`") for k in keys]) if keys else F.lit(0)
+    ranged = ranged.withColumn(_GROUP, group)
+
+    spans = ranged.groupBy(_GROUP, _RANGE).agg(F.count(F.lit(1)).alias(_CNT))
+    earlier = (Window.partitionBy(_GROUP) if keys else Window).orderBy(_RANGE).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    spans = spans.withColumn(_OFF, F.coalesce(F.sum(_CNT).over(earlier), F.lit(0)))
-    key_alias = {k: f"__k{i}" for i, k in enumerate(keys)}
-    spans = spans.select(
-        F.col(_PID).alias("__spid"),
-        *[F.col(k).alias(a) for k, a in key_alias.items()],
-        F.col(_OFF),
-        F.col(_FIRST),
-    )
+    spans = spans.select(_GROUP, _RANGE, F.coalesce(F.sum(_CNT).over(earlier), F.lit(0)).alias(_OFF))
     if not keys:
-        # One row per partition of the sorted frame: bounded by the partition count.
-        spans = F.broadcast(spans)
-
-    cond = staged[_PID] == spans["__spid"]
-    for k, a in key_alias.items():
-        cond = cond & staged[k].eqNullSafe(spans[a])
-    joined = staged.join(spans, cond, "inner")
-    number = (F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + F.lit(1)).cast("bigint")
-    return joined.select(*[staged[c] for c in df.columns], number.alias(name))
+        spans = F.broadcast(spans)  # one row per range: bounded by the number of ranges
+    within = Window.partitionBy(_GROUP, _RANGE).orderBy(*[k.column() for k in spec])
+    ranked = ranged.withColumn(_POS, F.row_number().over(within))
+    joined = ranked.join(spans, [_GROUP, _RANGE])
+    number = (F.col(_OFF) + F.col(_POS)).cast("bigint")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))

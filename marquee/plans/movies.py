@@ -7,9 +7,11 @@ single-task, the rewrite is deterministic and distributed:
 
 * ties in every ranking are broken by the title / person id;
 * window-aggregate-then-distinct becomes a grouped aggregate;
-* "above the group mean" is a grouped mean joined back, not a window;
+* "above the group mean" deals the rows once by (group, part) and joins merged
+  partial sums back, not a window;
 * global numbering uses ``number_rows`` (no single-partition window);
-* lists are ordered and built in bounded chunks (an extra ``chunk`` column);
+* lists are one row per value with its position;
+* joins on a person with very many titles split that person (``hot_key_join``);
 * FLOAT ratings are compared with FLOAT literals (8.1 keeps 8.1).
 
 Output column names are the original ones.
@@ -29,6 +31,8 @@ from marquee.operators import (
     explode_list,
     first_per_group,
     group_list,
+    hot_key_join,
+    late_lookup,
     max_by_group,
     mean_by,
     number_rows,
@@ -40,7 +44,7 @@ from marquee.operators import (
     year_span,
 )
 from marquee.sources.catalog import MovieCatalog
-from marquee.sources.sinks import export_csv
+from marquee.sources.sinks import Published, export_csv
 
 # The original questions' literals, in question order. They are
 # the parameter defaults below; every one can be overridden per call.
@@ -125,7 +129,7 @@ def a3_writers_with_avg_rating_from(
         cat.title_ratings.filter(F.col("numVotes") >= min_votes).select("tconst", "averageRating"),
         cat.title_basics, "tconst",
     )
-    writers = with_names(
+    writers = hot_key_join(
         _crew_people(cat, "writers", explode), cat.name_basics, "__person", "nconst",
         columns=["primaryName"], rename={"primaryName": "writer"},
     )
@@ -167,7 +171,7 @@ def a5_episodes_with_rating_from(
 def a6_titles_with_same_director_writer(cat: MovieCatalog) -> DataFrame:
     """Titles whose director list equals the writer list; one-person lists find a name."""
     crew = cat.title_crew.filter(F.col("writers").isNotNull() & (F.col("directors") == F.col("writers")))
-    authors = with_names(crew, cat.name_basics, "writers", "nconst", columns=["primaryName"],
+    authors = hot_key_join(crew, cat.name_basics, "writers", "nconst", columns=["primaryName"],
                          rename={"primaryName": "authorName"})
     out = cat.title_basics.join(authors, "tconst").orderBy("startYear", "tconst")
     return out.select(
@@ -208,9 +212,8 @@ def i2_minor_actor_directors(cat: MovieCatalog, max_age: int = MAX_AGE, explode:
     crew = _crew_people(cat, "directors", explode).join(
         cat.title_basics.select("tconst", "primaryTitle", "startYear"), "tconst"
     )
-    people = _actors(cat).select("nconst", "primaryName", "birthYear", "primaryProfession")
     out = year_span(
-        crew.join(people, crew["__person"] == people["nconst"]),
+        hot_key_join(crew, _actors(cat), "__person", "nconst", columns=["primaryName", "birthYear", "primaryProfession"]),
         "birthYear", "startYear", "actor_age_on_shooting", lo=0, hi=max_age,
     )
     return out.orderBy(F.col("actor_age_on_shooting").asc(), "tconst").select(
@@ -298,8 +301,8 @@ def m2_one_title_per_named_director(cat: MovieCatalog, name_part: str = NAME_PAR
     """
     crew = _crew_people(cat, "directors", explode).filter(F.col("__person").isNotNull())
     crew = crew.select("tconst", F.col("__person").alias("directors"))
-    people = cat.name_basics.filter(F.col("primaryName").contains(name_part)).select("nconst", "primaryName")
-    joined = crew.join(people, crew["directors"] == people["nconst"]).join(
+    people = cat.name_basics.filter(F.col("primaryName").contains(name_part))
+    joined = hot_key_join(crew, people, "directors", "nconst", columns=["primaryName"]).join(
         cat.title_basics.select("tconst", "primaryTitle"), "tconst"
     )
     first = first_per_group(joined, ["directors"], [F.col("tconst").asc()])
@@ -408,9 +411,10 @@ def s6_earliest_per_genre(cat: MovieCatalog) -> DataFrame:
         ["tconst", "primaryTitle", "startYear", "runtimeMinutes"],
     )
     first = first_per_group(genres, ["genre"], [F.col("startYear").asc(), F.col("tconst").asc()])
-    crew = first.join(cat.title_crew.select("tconst", "directors"), "tconst")
+    # one title per genre is left: its id, then its directors' ids, filter the scans before any shuffle
+    crew = late_lookup(first, cat.title_crew, "tconst", "tconst", columns=["directors"])
     directors = explode_list(crew, "directors", "director")
-    named = with_names(directors, cat.name_basics, "director", "nconst", how="left", columns=["primaryName"])
+    named = late_lookup(directors, cat.name_basics, "director", "nconst", how="left", columns=["primaryName"])
     keys = ["genre", "primaryTitle", "startYear", "runtimeMinutes"]
     lists = group_list(named.select(*keys, "primaryName", "director"), keys, "primaryName", "director",
                        order=["primaryName", "director"])
@@ -483,8 +487,9 @@ def s_results(cat: MovieCatalog) -> dict[str, DataFrame]:
     }
 
 
-def x1_export(cat: MovieCatalog, out_dir: str) -> dict[str, str]:
-    """Write the six S results as headered CSV directories under ``out_dir``."""
+def x1_export(cat: MovieCatalog, out_dir: str) -> dict[str, Published]:
+    """Publish the six S results as headered CSV directories under ``out_dir``:
+    all of them or, if any fails, none. Each path carries its ``rows``."""
     return export_csv(s_results(cat), out_dir)
 
 

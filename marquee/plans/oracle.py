@@ -151,6 +151,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT n_name, count(DISTINCT o_custkey) AS customer_count
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         GROUP BY n_name""",
+    "L1_bucketed": f"""
+        SELECT o_orderstatus, count(*) AS line_count, {_mean('l_quantity')} AS avg_quantity
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus""",
+    "T1_text": f"""
+        SELECT o_orderstatus, count(*) AS order_count, {_mean('o_totalprice')} AS avg_totalprice
+        FROM orders GROUP BY o_orderstatus""",
+    "X1_published": """
+        SELECT n_name, count(DISTINCT o_custkey) AS customer_count, count(*) OVER () AS result_rows
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        GROUP BY n_name""",
     "S4": f"""
         SELECT c_name, {_mean('l_extendedprice')} AS avg_price, {_mean('l_quantity')} AS avg_quantity,
                count(*) AS line_count

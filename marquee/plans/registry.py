@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.plans import star
+from marquee.plans import star, tables
 from marquee.plans.oracle import ORACLE_SQL
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,9 @@ QUERIES: dict[str, QueryFn] = {
     "ST4": star.st4_standard_part_count,
     "ST5": star.st5_standard_parts_per_word,
     "ST6": star.st6_standard_lines_per_quantity_bin,
+    "L1_bucketed": tables.l1_bucketed_order_lines,
+    "T1_text": tables.t1_orders_from_text,
+    "X1_published": tables.x1_published_nations,
     **{f"P1_{t}": star.p1_preview(t) for t in star.PREVIEW_ORDER},
 }
 

@@ -15,8 +15,7 @@ Conventions that keep results exact and comparable:
 * year filters are written as timestamp ranges so they reach the scan.
 
 Every function takes ``(spark, sf_dir)`` plus parameters with the original questions'
-defaults mapped to this data, and returns a lazy DataFrame (``number_rows``
-writes its checkpoint while the plan is built: M3, M4, M6, S6).
+defaults mapped to this data, and returns a lazy DataFrame.
 """
 
 from __future__ import annotations
@@ -44,6 +43,8 @@ from marquee.operators import (
     explode_list,
     first_per_group,
     group_list,
+    hot_key_join,
+    late_lookup,
     max_by_group,
     mean_by,
     number_rows,
@@ -155,7 +156,7 @@ def a6_discount_equals_tax(spark: SparkSession, sf_dir: str, skip_flag: str = "N
     lines = t.lineitem.filter(
         (F.col("l_returnflag") != skip_flag) & (F.col("l_discount") == F.col("l_tax"))
     ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_shipdate")
-    lines = with_names(lines, t.supplier, "l_suppkey", "s_suppkey", columns=["s_name"])
+    lines = hot_key_join(lines, t.supplier, "l_suppkey", "s_suppkey", columns=["s_name"])
     lines = with_names(lines, t.part, "l_partkey", "p_partkey", columns=["p_name"])
     return lines.orderBy("l_shipdate", "l_orderkey", "l_linenumber").select(
         "l_orderkey", "l_linenumber", "p_name", year_of("l_shipdate").alias("ship_year"), "l_discount", "l_tax", "s_name"
@@ -413,8 +414,8 @@ def s6_first_part_per_word_with_suppliers(spark: SparkSession, sf_dir: str) -> D
     t = StarTables(spark, sf_dir)
     words = _words(t.part.filter(F.col("p_size") > 0).select("p_partkey", "p_name", "p_size"), ["p_partkey", "p_name", "p_size"])
     first = first_per_group(words, ["word"], [F.col("p_size").asc(), F.col("p_partkey").asc()])
-    crew = t.lineitem.select("l_partkey", "l_suppkey").distinct()  # combined map-side before the join
-    shipped = first.join(crew, F.col("p_partkey") == F.col("l_partkey"))
+    # few parts are left: they filter the scan of the line items before any shuffle
+    shipped = late_lookup(first, t.lineitem, "p_partkey", "l_partkey", columns=["l_suppkey"]).distinct()
     named = with_names(shipped, t.supplier, "l_suppkey", "s_suppkey", how="left", columns=["s_name"])
     return group_list(
         named.select("word", "p_name", "p_size", "s_name", "l_suppkey"),

@@ -1,18 +1,18 @@
-"""Session defaults and the reliable checkpoint folder.
+"""Session defaults and the shared folder.
 
 Library code never creates a session; it receives one. ``build_session`` is
-for tests, the bench and command-line use. ``checkpoint`` is the only way the
-library cuts lineage: it writes to the shared folder named by the session's
-``spark.checkpoint.dir`` so that a lost executor cannot change what later
-stages read. Where the setting is missing it raises; tests and the bench set it.
+for tests, the bench and command-line use. Queries that write tables of their
+own put them under the shared folder named by the session's
+``spark.checkpoint.dir``, never in a machine-local one.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import is_remote
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -53,26 +53,22 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder checkpoints go to: the context's active checkpoint folder, or
-    the one ``spark.checkpoint.dir`` names. Unset, it is an error everywhere."""
-    sc = spark.sparkContext
-    active = sc.getCheckpointDir()
-    if active:
-        return active
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not configured:
-        raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a folder every executor shares")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the folder that ``spark.checkpoint.dir`` names, which
+    every executor shares; it is deleted when the session's JVM ends. Unset, it
+    is an error, but for a local session, where a private folder is shared by all."""
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set; point it at a folder every executor shares")
+        base = tempfile.mkdtemp(prefix="marquee-shared-")
+    path = f"{base.rstrip('/')}/marquee/{name}-{uuid.uuid4().hex}"
+    where, fs = file_system(spark, path)
+    fs.deleteOnExit(where)
+    return path
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Eagerly write ``df`` to the reliable checkpoint folder and read it back.
-
-    Under Spark Connect the server owns the checkpoint folder (there is no
-    client-side context to configure), so the client only asks for it.
-    """
-    if not is_remote():
-        checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system): where Spark itself reads and writes ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -13,6 +13,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.schemas import FILE_NAMES, SCHEMAS
+from marquee.sources.bucketed import attach_bucketed, write_bucketed
 from marquee.sources.readers import read_parquet, read_tsv
 
 
@@ -25,6 +26,17 @@ WRITE_ORDER: dict[str, list[str]] = {
     "title_principals": ["category"],
 }
 
+# The id each table is joined by, and so bucketed by.
+JOIN_KEYS: dict[str, str] = {
+    "name_basics": "nconst",
+    "title_akas": "titleId",
+    "title_basics": "tconst",
+    "title_crew": "tconst",
+    "title_episode": "tconst",
+    "title_principals": "tconst",
+    "title_ratings": "tconst",
+}
+
 
 @dataclass(frozen=True)
 class MovieCatalog:
@@ -91,6 +103,17 @@ class MovieCatalog:
             written[name] = path
         return written
 
+    def write_bucketed(self, root: str, buckets: int) -> MovieCatalog:
+        """Write every table to ``root`` in ``buckets`` files by the id it is
+        joined by (see ``sources.bucketed``), and return that catalog: joins on
+        title ids then shuffle nothing."""
+        return type(self)(**write_bucketed(self.tables(), JOIN_KEYS, root, buckets))
+
+    @classmethod
+    def from_bucketed(cls, spark: SparkSession, root: str) -> MovieCatalog:
+        """The catalog that ``write_bucketed`` left under ``root``."""
+        return cls(**attach_bucketed(spark, root))
+
     @classmethod
     def from_rows(cls, spark: SparkSession, rows: dict[str, list[tuple]]) -> MovieCatalog:
         """Build a catalog from in-memory rows (fixtures); missing tables are empty."""
@@ -98,9 +121,12 @@ class MovieCatalog:
 
 
 def read_tables(spark: SparkSession, root: str, fmt: str = "tsv") -> MovieCatalog:
-    """The seven tables under ``root`` as a catalog; ``fmt`` is ``"tsv"`` or ``"parquet"``."""
+    """The seven tables under ``root`` as a catalog; ``fmt`` is ``"tsv"``,
+    ``"parquet"`` or ``"bucketed"``."""
     if fmt == "tsv":
         return MovieCatalog.from_tsv(spark, root)
     if fmt == "parquet":
         return MovieCatalog.from_parquet(spark, root)
+    if fmt == "bucketed":
+        return MovieCatalog.from_bucketed(spark, root)
     raise ValueError(f"unknown format {fmt!r}")

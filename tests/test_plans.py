@@ -30,9 +30,9 @@ def test_no_python_udf_and_no_single_partition_window(spark, name):
     for i, line in enumerate(tree):
         if "Exchange SinglePartition" in line:
             # one task may only receive one partial aggregate row per task, or the
-            # per-partition offsets of number_rows (one row per partition)
+            # per-range counts of number_rows (one row per range)
             child = tree[i + 1]
-            assert "partial_" in child or "__pid" in child, f"{name}: a single task would take every row"
+            assert "partial_" in child or "__range" in child, f"{name}: a single task would take every row"
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
@@ -71,7 +71,7 @@ def _check_shape(df, name):
     for i, line in enumerate(tree):
         if "Exchange SinglePartition" in line:
             child = tree[i + 1]
-            assert "partial_" in child or "__pid" in child, f"{name}: a single task would take every row"
+            assert "partial_" in child or "__range" in child, f"{name}: a single task would take every row"
 
 
 def test_catalog_questions_plan_shapes(catalog):

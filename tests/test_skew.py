@@ -80,3 +80,68 @@ def test_above_group_mean_never_shuffles_the_rows_by_group(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan  # a window would put a whole group in one task
     assert "partial_sum" in plan  # the statistics are combined before their shuffle
+
+
+@pytest.fixture
+def no_skew_join(uncoalesced):
+    keys = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    old = {k: uncoalesced.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        uncoalesced.conf.set(k, v)
+    yield uncoalesced
+    for k, v in old.items():
+        uncoalesced.conf.set(k, v)
+
+
+def _people(spark):
+    names = spark.range(1000).select(F.col("id").cast("string").alias("p"), F.concat(F.lit("n"), F.col("id")).alias("name"))
+    return names.union(spark.createDataFrame([("hot", "Hot")], "p string, name string"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_key_join_splits_the_hot_key_without_adaptive_help(no_skew_join, how):
+    from marquee.operators import hot_key_join
+
+    spark = no_skew_join
+    left = _skewed(spark).withColumn("g", F.when(F.col("id") % 31 != 0, F.col("g")))  # some NULL keys too
+    out = hot_key_join(left, _people(spark), "g", "p", how=how, columns=["name"], rows_per_part=300)
+    assert max(_partition_sizes(out)) < ROWS / 10
+    plain = left.join(_people(spark), F.col("g") == F.col("p"), how).select("id", "g", "v", "name")
+    assert max(_partition_sizes(plain)) > ROWS / 4  # what it is for
+    assert out.columns == plain.columns
+    assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
+
+
+def test_hot_key_join_keeps_ties_and_fan_out(spark):
+    from marquee.operators import hot_key_join
+
+    left = spark.createDataFrame([("a", 1)] * 50 + [("b", 2)] * 3 + [(None, 3)], "k string, v int")
+    right = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), ("c", "w")], "k string, v string")
+    out = hot_key_join(left, right, "k", "k", columns=["v"], rename={"v": "w"}, rows_per_part=7, most_keys=2)
+    assert sorted((r["k"], r["w"]) for r in out.collect()) == sorted([("a", "x"), ("a", "y")] * 50 + [("b", "z")] * 3)
+    none = left.where("v > 9")
+    assert hot_key_join(none, right, "k", "k", columns=["v"], rename={"v": "w"}).count() == 0
+    with pytest.raises(ValueError):
+        hot_key_join(left, right, "k", "k", how="full")
+
+
+def test_above_group_mean_spreads_a_hot_group(no_skew_join):
+    from marquee.operators import above_group_mean
+
+    df = _skewed(no_skew_join).withColumn("price", F.col("v") / 100.0)
+    out = above_group_mean(df, ["g"], "price", mean_name="m", exact_scale=2)
+    assert max(_partition_sizes(out)) < ROWS / 10
+
+
+def test_ranges_are_even_and_the_same_every_time(spark):
+    from marquee.operators.ranges import sort_keys, with_range
+
+    df = _skewed(spark)
+    keys = sort_keys(["g", F.col("v").desc(), "id"], df.columns)
+    one = with_range(df, keys, "r", ranges=20)
+    sizes = [r["count"] for r in one.groupBy("r").count().collect()]
+    assert 20 <= len(sizes) <= 41 and max(sizes) < 3 * ROWS / 20
+    again = with_range(df.repartition(13, "v"), keys, "r", ranges=20)
+    assert one.select("id", "r").exceptAll(again.select("id", "r")).count() == 0
+    with pytest.raises(ValueError):
+        sort_keys([F.col("v") + 1], df.columns)
