@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.exact import fixed_point, mean_from
@@ -45,7 +45,7 @@ def above_group_mean(
     part = F.coalesce(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)), F.lit(0))  # never NULL
     group = F.struct(*[F.col(f"`{k}`") for k in keys])  # equal with the same NULLs
     # the part is an expression of all columns, so both uses below read one and the same exchange
-    dealt = df.repartition(parts, group, part).withColumn("__group", group).withColumn("__part", part)
+    dealt = df.repartition(group, part).withColumn("__group", group).withColumn("__part", part)
     if exact_scale is None:
         v = F.col(f"`{value}`").cast("double")
         sums = [F.sum(v).alias("__sum"), F.count(v).alias("__cnt")]
@@ -53,8 +53,8 @@ def above_group_mean(
         v = fixed_point(value, exact_scale)
         sums = [F.sum(v).alias("__sum"), F.count(F.col(f"`{value}`")).alias("__cnt")]
     partial = dealt.groupBy("__group", "__part").agg(*sums)
-    merged = partial.groupBy("__group").agg(F.sum("__sum").alias("__total"), F.sum("__cnt").alias("__n"))
-    told = partial.join(merged, "__group").select("__group", "__part", "__total", "__n")
+    merged = Window.partitionBy("__group")  # over one row per part
+    told = partial.select("__group", "__part", F.sum("__sum").over(merged).alias("__total"), F.sum("__cnt").over(merged).alias("__n"))
     joined = dealt.join(told, ["__group", "__part"])
 
     if exact_scale is None:

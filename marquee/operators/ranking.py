@@ -17,10 +17,11 @@ in a single task; instead:
 3. exact counts per (group, range) and a running sum over the group's earlier
    ranges give each range's offset (at most groups + ranges rows);
 4. a window over (group, range) ranks the rows of one range, and the offset is
-   added: rows are shuffled once.
+   added.
 
-No job runs while the plan is built, and nothing is stored: the input is read
-three times (sample, counts, rows).
+No job runs while the plan is built, and nothing is stored. Sample, counts and
+rows start from one exchange that Spark reuses, so the input is computed once;
+should it be computed again, bounds and rows come out the same.
 
 With ``limit=N`` only numbers 1..N are wanted: a partial top-N per group, or
 ``orderBy().limit(N)`` globally, replaces the full sort.
@@ -88,6 +89,8 @@ def number_rows(
         top = df.orderBy(*as_cols(order)).limit(limit)
         return top.withColumn(name, F.row_number().over(Window.orderBy(*as_cols(order))).cast("bigint"))
     spec = sort_keys(order, df.columns)
+    # dealt by a hash of all columns: the three uses below read one and the same exchange
+    df = df.repartition(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     ranged = with_range(df, [*sort_keys(keys, df.columns), *spec], _RANGE)
     # a struct of the keys is never NULL and equals another with the same NULLs
     group = F.struct(*[F.col(f"`{k}`") for k in keys]) if keys else F.lit(0)

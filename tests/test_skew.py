@@ -78,7 +78,8 @@ def test_above_group_mean_never_shuffles_the_rows_by_group(spark):
     out = above_group_mean(df, ["g"], "price", exact_scale=2)
     assert out.count() > 0
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan  # a window would put a whole group in one task
+    # a window over the rows would put a whole group in one task: the only one is over the parts' sums
+    assert plan.count("Window [") == 1 and "Window [sum(__sum" in plan
     assert "partial_sum" in plan  # the statistics are combined before their shuffle
 
 
