@@ -38,13 +38,14 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class Encoder:
-    """``encode(texts)`` -> one uint32 array of ids per text (no special tokens).
+    """``encode(texts)`` -> one uint32 array of ids per text, none added.
 
-    Strings of special tokens inside a text are ordinary text. The direct way
-    to the model is taken only for a plain byte-level BPE file; any other
-    tokenizer encodes whole texts."""
+    With ``as_text`` the strings of special tokens inside a text are ordinary
+    text; without, such a text is encoded whole as the library does by default,
+    which gives the tokens' own ids. The direct way to the model is taken only
+    for a plain byte-level BPE file; any other tokenizer encodes whole texts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_text: bool = True):
         quiet_threads()
         import json
 
@@ -53,9 +54,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = as_text
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         spec = json.loads(self.tok.to_str())
+        self.added = [] if as_text else [t["content"] for t in spec["added_tokens"]]
         split = spec["pre_tokenizer"] or {}
         self.plain = (
             spec["normalizer"] is None
@@ -77,6 +79,8 @@ class Encoder:
         return [np.frombuffer(self._ids(t), dtype="<u4") for t in texts]
 
     def _ids(self, text: str) -> bytes:
+        if any(a in text for a in self.added):
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         words = text.split()
         spaces = text.count(" ") + text.count("\n")
         if not words or len(words) != spaces + 1 or len(text) != len("".join(words)) + spaces:
@@ -114,11 +118,15 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker, kept for the worker's life."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, as_text: bool = True) -> Encoder:
+    """One encoder per Python worker, kept until another operator's work begins there."""
+    if (path, as_text) not in _ENCODERS:
+        _ENCODERS[path, as_text] = Encoder(path, as_text)
+    return _ENCODERS[path, as_text]
+
+
+def release() -> None:
+    _ENCODERS.clear()

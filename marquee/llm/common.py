@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 import tempfile
 import uuid
 
@@ -68,6 +71,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def begin() -> None:
+    """Called where an operator's work on a batch of blocks begins: lets go of
+    the encoders an earlier stage left in this Python worker, and hands freed
+    memory back to the system."""
+    held = sys.modules.get("marquee.llm.bpe")
+    if held is not None and held._ENCODERS:
+        held.release()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim is not None:
+            trim(0)
+
+
 def quiet_threads() -> None:
     """One thread per task: Spark owns the parallelism."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import blobs
-from marquee.llm.common import partitions
+from marquee.llm.common import begin, partitions
 
 ROUTED = "shard int, block int, data binary"
 ANSWER = "block int, shard int, data binary"
@@ -94,6 +94,7 @@ def ask(
 def send(block: int, keys: np.ndarray, values: list[np.ndarray], shards: int, bits: int = 64, every: bool = False) -> pa.Table:
     """One routed row per shard that has any of the ascending keys (``every``:
     to all shards, so that all of them answer every block)."""
+    begin()
     drop, at = np.uint64(64 - bits), cuts(keys, shards)
 
     def rows() -> Iterator[tuple[int, int, bytes]]:
@@ -157,6 +158,7 @@ def finish(
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0:
             return empty
+        begin()
         kinds = np.array(right.column("kind").to_pylist(), dtype=object)
         return work(left, {k: right.filter(pa.array(kinds == k, pa.bool_())) for k in names})
 

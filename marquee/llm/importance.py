@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import id_and_text, written
+from marquee.llm.common import begin, id_and_text, written
 from marquee.llm.textnp import U64, buffer, mix
 
 _SLICE = 1 << 20
@@ -75,6 +75,7 @@ def _own(offsets: np.ndarray, a: int, b: int, gram: int) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
     """Counts of a whole task: (bucket, raw, target), zero rows left out."""
     raw, target = np.zeros(s.buckets, dtype=np.int64), np.zeros(s.buckets, dtype=np.int64)
+    begin()
     for batch in batches:
         data, offsets = buffer(batch.column(0))
         fit = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
@@ -159,6 +160,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # ``buckets`` floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         for batch in batches:
             score, plain = shared.value.weights(batch.column(1))
             key = keys(score, batch.column(2).to_numpy(zero_copy_only=False), model.settings.temperature)
@@ -262,6 +264,7 @@ def keep_drawn(docs: DataFrame, labels: DataFrame, settings: Settings | None = N
     temperature, schema, n = draw.model.settings.temperature, docs.schema, len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         for batch in batches:
             score, _ = shared.value.weights(batch.column(n))
             key = keys(score, batch.column(n + 1).to_numpy(zero_copy_only=False), temperature)

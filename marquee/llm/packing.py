@@ -31,7 +31,7 @@ PIECES = (
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path)
+    enc = encoder(path, as_text=False)
     kind = np.dtype("<u2" if max(enc.vocab, end_id + 1) <= 1 << 16 else "<u4")
     end, part, at = np.array([end_id], dtype=kind).tobytes(), TaskContext.get().partitionId(), 0
     for batch in batches:

@@ -110,7 +110,7 @@ class Segment:
 
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int, segment: int) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path)
+    enc = encoder(path, as_text=False)
     bits, part = width(max(enc.vocab, end_id + 1)), TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4")
     seg = start = held = 0

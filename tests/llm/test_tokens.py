@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from marquee.llm import bpe, packing, separators, token_files
 from tests.llm.data import SCHEMA, awkward, real
@@ -21,6 +22,21 @@ def enc():
     return bpe.encoder(PATH)
 
 
+def test_special_token_strings_as_the_library_gives_them(spark):
+    fresh = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "no <|endoftext> here", "", None]
+    ids = [fresh.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [64, 220, 50256, 275]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in read_back(spark, rows)}
+    start = 0
+    for k, want in enumerate(ids):
+        assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (start, len(want) + 1, crc([*want, 2]))
+        start += len(want) + 1
+    pieces = packing.concatenate_and_cut(spark.createDataFrame(rows, SCHEMA), PATH, 0).collect()
+    assert {p.doc_id: (p.doc_tokens, p.ids_crc32) for p in pieces} == {k: (len(x) + 1, crc([*x, 0])) for k, x in enumerate(ids)}
+
+
 def whole(enc, text):
     return enc.tok.encode(text or "", add_special_tokens=False).ids
 
