@@ -12,8 +12,9 @@ Arrays are exploded with the outer form and nulls dropped after it: an inner
 explode would push a filter on the array's size below the projections that
 build it, and have it built several times.
 
-The benchmark side is broadcast only if its measured size allows; beyond that
-both joins shuffle. A fingerprint is sent once per document, so repeated
+The benchmark side is broadcast only if its counted bytes allow; beyond that
+both joins shuffle. Nothing of the documents is broadcast but a bitmap of fixed
+size. A fingerprint is sent once per document, so repeated
 phrases cost what they would once.
 """
 
@@ -23,13 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import written
+from marquee.operators import key_filter, may_hold
 
 # ASCII other than letters and digits parts words; capitals fold.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 GRAM = 5
-BROADCAST_ROWS = 500_000  # rows of at most a few hundred bytes each
+BROADCAST_BYTES = 32 << 20  # of the benchmark's windows; more are joined by shuffle
+FILTER_BITS = 1 << 20
 _NO_ID = -(1 << 63)
 
 
@@ -69,14 +72,10 @@ def _windows(rows: DataFrame, lengths: list[int]) -> DataFrame:
     return rows.withColumn("marks", F.array(full, *short))
 
 
-def _small(df: DataFrame) -> bool:
-    """Whether at most BROADCAST_ROWS rows; stops counting there."""
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-
-
-def _side(df: DataFrame) -> DataFrame:
-    """Broadcast hint behind the size check; Spark's shuffle join otherwise."""
-    return F.broadcast(df) if _small(df) else df
+def _within(items: DataFrame) -> bool:
+    """Whether the benchmark's windows, as counted bytes, may be broadcast."""
+    size = F.length("window") * 4 + F.coalesce(F.length("item_id"), F.lit(0)) * 4 + 64
+    return (items.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0) <= BROADCAST_BYTES
 
 
 def item_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
@@ -97,26 +96,38 @@ def item_windows(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
 def _row_key() -> list[Column]:
     """``k`` and ``h`` of a document row: its doc_id and a hash of its text."""
     k = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("k")
-    return [k, F.xxhash64(_lowered("text")).alias("h")]
+    return [k, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*_row_key(), F.col("doc_id").cast("long").alias("doc_id"), _lowered("text").alias("text"))
 
 
-def _hit_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(k, h, n_hit, items) of the document rows that have a hit."""
+def _hit_rows(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(k, h, doc_id, n_words) of every document row, and (k, h, n_hit, items)
+    of those that have a hit."""
     items, lengths = item_windows(benchmark)
+    side = F.broadcast if _within(items) else lambda df: df
     keyed = _keyed(docs)
 
-    # pass 1: fingerprints that a document shares with the benchmark
+    # pass 1: the words are counted, and fingerprints shared with the benchmark found. One more
+    # entry per row, spread by its key, carries the row through the join whatever it shares
     fingers = F.array_distinct(F.flatten(F.transform("marks", lambda m: m["mark"])))
-    sent = _windows(_words(keyed), lengths).select("k", "h", F.explode_outer(fingers).alias("mark")).where("mark is not null")
-    shared = sent.join(_side(items.select("mark").distinct()), "mark")
-    candidates = written(shared.groupBy("k", "h").agg(F.collect_set("mark").alias("shared")), "candidates")
-
-    # pass 2: the candidates' windows at those fingerprints, word by word
-    again = keyed.join(_side(candidates), ["k", "h"])
+    found = F.transform(fingers, lambda x: F.struct(x.alias("mark"), F.lit(False).alias("row")))
+    entries = F.concat(F.array(F.struct(F.xxhash64("h", "k").alias("mark"), F.lit(True).alias("row"))), found)
+    rows = _windows(_words(keyed), lengths)
+    sent = rows.select("k", "h", "doc_id", F.size("words").cast("long").alias("n_words"), F.explode_outer(entries).alias("e"))
+    marks = items.select("mark").distinct().withColumn("shared", F.lit(True))
+    kept = sent.select("k", "h", "doc_id", "n_words", "e.mark", "e.row").join(side(marks), "mark", "left")
+    pass1 = written(kept.where("row or shared"), "fingerprints")
+    counted = pass1.where("row").select("k", "h", "doc_id", "n_words")
+    candidates = pass1.where("not row").groupBy("k", "h").agg(F.collect_set("mark").alias("shared"))
+    candidates = written(candidates, "candidates")
+
+    # pass 2: the candidates' windows at those fingerprints, word by word; a bitmap of fixed
+    # size leaves few other texts to be shuffled
+    near = keyed.where(may_hold(key_filter(candidates.select("h"), "h", FILTER_BITS), F.col("h"), FILTER_BITS))
+    again = near.join(candidates, ["k", "h"])
     again = _windows(_words(again), lengths).select("k", "h", "shared", "words", F.explode_outer("marks").alias("m"))
     at = F.filter(
         F.transform(
@@ -130,17 +141,18 @@ def _hit_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     found = again.select("k", "h", F.col("m.size").alias("size"), F.explode_outer(at).alias("w"))
     found = found.select("k", "h", "size", "w.i", "w.mark", "w.window").where("mark is not null")
-    hits = found.join(_side(items), ["mark", "size", "window"])
+    hits = found.join(side(items), ["mark", "size", "window"])
     by_doc = hits.groupBy("k", "h", "i", "size").agg(F.collect_set("item_id").alias("items"))
     ordered = Window.partitionBy("k", "h").orderBy("i", "size")
     seen = F.max(F.col("i") + F.col("size")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     end = F.col("i") + F.col("size")
     new = F.greatest(F.lit(0), end - F.greatest(F.col("i"), F.coalesce(seen, F.lit(0))))
     covered = by_doc.select("k", "h", "items", new.cast("long").alias("new"))
-    return covered.groupBy("k", "h").agg(
+    hit = covered.groupBy("k", "h").agg(
         F.sum("new").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
+    return counted, hit
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -154,8 +166,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text count each; null item_ids are not counted as items, though their
     windows hit.
     """
-    per_doc = _hit_rows(docs, benchmark)
-    counted = _keyed(docs).select("k", "h", "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
+    counted, per_doc = _hit_rows(docs, benchmark)
     joined = counted.join(per_doc, ["k", "h"], "left")
     names = F.coalesce(F.array_join("items", ","), F.lit(""))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
@@ -163,7 +174,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
         F.sha2(names, 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
@@ -172,6 +183,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, all their columns unchanged. Each row goes
     or stays by its own text, also where doc_ids are null or shared."""
-    bad = _hit_rows(docs, benchmark).select(F.col("k").alias("bad_k"), F.col("h").alias("bad_h"))
+    bad = _hit_rows(docs, benchmark)[1].select(F.col("k").alias("bad_k"), F.col("h").alias("bad_h"))
     k, h = _row_key()
     return docs.join(bad, (k == bad["bad_k"]) & (h == bad["bad_h"]), "left_anti")

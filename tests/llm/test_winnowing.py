@@ -6,9 +6,11 @@ import random
 
 import pytest
 
+from marquee.llm import queries
 from marquee.llm import winnowing as w
 from tests.llm import brute
 from tests.llm.data import SCHEMA, awkward, items, real
+from tests.oracle_check import compare
 
 ITEMS = "item_id long, text string"
 
@@ -25,11 +27,11 @@ def test_documents(spark):
     check(spark, real(), items())
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_planted_windows_of_every_length(spark, monkeypatch, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 25, 0])
+def test_planted_windows_of_every_length(spark, monkeypatch, broadcast_bytes):
     """Items of 0 to 30 words, planted whole, in part and with a word changed;
     also through the shuffle joins."""
-    monkeypatch.setattr(w, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(w, "BROADCAST_BYTES", broadcast_bytes)
     r = random.Random(11)
     word = lambda: "".join(r.choice("abcdef") for _ in range(3))
     bench = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([0, 1, 2, 4, 5, 7, 9, 10, 11, 15, 30])]
@@ -79,6 +81,20 @@ def test_each_row_is_judged_by_its_own_text(spark):
     assert sorted((r.k, r.doc_id, r.text) for r in left.collect()) == sorted((k, d, t) for d, t, k in rows if k in (2, 3, 5, 6, 8))
 
 
+def test_without_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        check(spark, real(60), items())
+        check(spark, awkward(), [])
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_query_equals_sql(spark):
+    got = compare(spark, "op10_winnowing", queries.op10_winnowing, queries.ORACLE_SQL["op10_winnowing"], "/root/testdata/sf0.01")
+    assert "error" not in got and got["spark_rows"] == 1000
+
+
 def test_native(spark):
     plan = w.decontaminate(spark.createDataFrame(real(5), SCHEMA), spark.createDataFrame(items(), ITEMS))
     text = plan._jdf.queryExecution().toString()
