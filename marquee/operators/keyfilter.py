@@ -28,9 +28,11 @@ def key_filter(keys: DataFrame, column: str, bits: int = BITS) -> Column:
     word = F.floor(F.col("__place") / _WORD).cast("int")
     bit = F.expr(f"shiftleft(1L, cast(__place % {_WORD} AS INT))")
     words = place.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))  # bits / 32 rows at most
-    held = F.map_from_entries(F.collect_list(F.struct("__word", "__bits")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(bits // _WORD - 1)), lambda w: F.coalesce(F.element_at(F.col("__held"), w), F.lit(0).cast("long")))
-    return words.agg(held.alias("__held")).select(dense.alias("__bitmap")).scalar()
+    every = keys.sparkSession.range(0, bits // _WORD, 1, 1).select(F.col("id").cast("int").alias("__at"))
+    dense = every.join(F.broadcast(words), F.col("__at") == F.col("__word"), "left")
+    dense = dense.select("__at", F.coalesce("__bits", F.lit(0).cast("long")).alias("__bits"))
+    ordered = F.array_sort(F.collect_list(F.struct("__at", "__bits")))
+    return dense.agg(ordered.alias("__held")).select(F.col("__held.__bits").alias("__bitmap")).scalar()
 
 
 def may_hold(bitmap: Column, key: Column, bits: int = BITS) -> Column:
