@@ -1,7 +1,7 @@
 """marquee — Spark-native analytics over title / people / ratings catalogs.
 
 Layout:
-    marquee.session     session defaults and the reliable checkpoint folder
+    marquee.session     session defaults and the shared folder
     marquee.schemas     the seven declared table schemas
     marquee.sources     TSV / Parquet readers, the typed catalog, CSV export
     marquee.functions   Column -> Column helpers (list columns, bins, years, exact means)
