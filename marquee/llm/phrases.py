@@ -11,7 +11,7 @@ a document with a smaller doc_id.
    window says how many texts hold it: beyond ``SHARED`` the claims are dealt to
    two, four, ... cells of other shards, and the owner's passage goes to each.
 3. A shard compiles an Aho-Corasick automaton over the windows of its passages,
-   word by word, and streams the claims through it. Every match is a confirmed
+   a character a word, and streams the claims through it. Every match is a confirmed
    occurrence, so equal hashes of unequal words remove nothing.
 4. The confirmed spans return to their blocks and the words are cut.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -170,69 +171,108 @@ def _texts(pairs: list[tuple[int, bytes]]) -> list[np.ndarray]:
     return [np.array([o for o, _ in pairs], np.int64), sizes, np.frombuffer(b"".join(r for _, r in pairs), np.uint8)]
 
 
-def _split(owners: np.ndarray, sizes: np.ndarray, raw: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+def _split(sizes: np.ndarray, raw: np.ndarray) -> Iterator[list[bytes]]:
+    """The words of each text."""
     ends = np.cumsum(sizes.astype(np.int64)).tolist()
     whole = raw.tobytes()
-    for owner, size, end in zip(owners.tolist(), sizes.tolist(), ends, strict=True):
-        yield owner, whole[end - size : end].split(b" ")
+    for size, end in zip(sizes.tolist(), ends, strict=True):
+        yield whole[end - size : end].split(b" ")
 
 
 class Automaton:
-    """Aho-Corasick over word sequences of one length, each with its owner."""
+    """Aho-Corasick over word sequences of one length, each with its smallest owner.
 
-    def __init__(self, size: int):
+    Every word of a passage is a number, and a number is one character (two,
+    where there are more words than characters), so that the patterns and what
+    is streamed through them are strings. Number 0 is any other word."""
+
+    def __init__(self, size: int, characters: int = 0x10FFFF - 0x800):
         import ahocorasick
 
-        self.size, self.numbers = size, {}
-        self.tree = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.size, self.characters, self.width = size, characters, 1
+        self.numbers: dict[bytes, int] = {}
+        self.passages: list[tuple[list[int], int]] = []
+        self.tree = ahocorasick.Automaton()
 
     def add(self, passage: list[bytes], owner: int) -> None:
-        ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in passage]
-        for i in range(len(ids) - self.size + 1):
-            key = tuple(ids[i : i + self.size])
-            known = self.tree.get(key, None) if len(self.tree) else None
-            if known is None or owner < known:
-                self.tree.add_word(key, owner)
+        numbers = self.numbers
+        self.passages.append(([numbers.setdefault(w, len(numbers) + 1) for w in passage], owner))
 
     def compile(self) -> None:
-        if len(self.tree):
+        self.width = 1 if len(self.numbers) <= self.characters else 2
+        owners: dict[str, int] = {}
+        for ids, owner in self.passages:
+            text, step = self._string(ids), self.width
+            for i in range(0, (len(ids) - self.size + 1) * step, step):
+                key = text[i : i + self.size * step]
+                if owners.setdefault(key, owner) > owner:
+                    owners[key] = owner
+        self.passages = []
+        for key, owner in owners.items():
+            self.tree.add_word(key, owner)
+        if owners:
             self.tree.make_automaton()
 
-    def matches(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
-        """(place of the first word, owner) of every occurrence."""
+    def _string(self, ids: list[int]) -> str:
+        code = np.array(ids, dtype="<u4")
+        if self.width == 1:
+            code[code >= 0xD800] += 0x800  # surrogates are no characters of their own
+        else:
+            code = np.stack([code >> 15, code & 0x7FFF], axis=1)
+        return code.tobytes().decode("utf-32-le")
+
+    def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the first word, ascending, and owners of all occurrences."""
         if not len(self.tree):
-            return
-        ids = tuple([self.numbers.get(w, 0) for w in words])
-        for end, owner in self.tree.iter(ids):
-            yield end - self.size + 1, owner
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        text = self._string(list(map(self.numbers.get, words, repeat(0))))
+        found = np.fromiter(chain.from_iterable(self.tree.iter(text)), dtype=np.int64).reshape(-1, 2)
+        start = found[:, 0] + 1 - self.size * self.width
+        whole = start % self.width == 0
+        return start[whole] // self.width, found[whole, 1]
+
+
+def _spans(automaton: Automaton, owners: np.ndarray, texts: Iterator[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans (text, first word, number of words) of the texts that windows of
+    their owner, or of a smaller one, cover. All texts are streamed as one, with
+    a word that no passage holds between them."""
+    words: list[bytes] = []
+    bounds = []
+    for text in texts:
+        bounds.append(len(words))
+        words += text
+        words.append(b" ")
+    begins = np.array(bounds, dtype=np.int64)
+    start, who = automaton.find(words)
+    text = np.searchsorted(begins, start, side="right") - 1
+    ours = who <= owners[text]
+    start, text = start[ours], text[ours]
+    new = np.ones(len(start), dtype=bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] > start[:-1] + automaton.size)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start)) - 1 if len(first) else first
+    return text[first], start[first] - begins[text[first]], start[last] + automaton.size - start[first]
 
 
 def _confirm(table: pa.Table, size: int) -> pa.Table:
     automaton, sent = Automaton(size), []
     for data in table.column("data"):
         parts = blobs.unpack(data.as_py())
-        for owner, words in _split(*parts[:3]):
+        for owner, words in zip(parts[0].tolist(), _split(*parts[1:3]), strict=True):
             automaton.add(words, owner)
         sent.append(parts[3:])
     automaton.compile()
     shard, rows = table.column("shard")[0].as_py(), []
     for block, (owners, sizes, raw, number, row, at) in zip(table.column("block").to_pylist(), sent, strict=True):
-        spans = []
-        for owner, words in _split(owners, sizes, raw):
-            found: list[list[int]] = []
-            for start, who in automaton.matches(words):
-                if who > owner:
-                    continue
-                if found and start <= found[-1][1]:
-                    found[-1][1] = start + size
-                else:
-                    found.append([start, start + size])
-            spans.append(np.array(found, dtype=np.int64).reshape(-1, 2))
-        n = np.array([len(spans[k]) for k in number.tolist()], dtype=np.int64)
+        text, start, length = _spans(automaton, owners, _split(sizes, raw))
+        many = np.bincount(text, minlength=len(owners))
+        n = many[number]
         if n.sum():
-            every = np.concatenate([spans[k] for k in number.tolist()])
-            first = np.repeat(at.astype(np.int64), n)
-            rows.append((block, shard, blobs.pack(np.repeat(row, n), (every[:, 0] + first).astype("<u4"), (every[:, 1] - every[:, 0]).astype("<u4"))))
+            # the spans of a claim's text, once for every place that the claim stands at
+            before = (np.cumsum(many) - many)[number] - (np.cumsum(n) - n)
+            every = np.repeat(before, n) + np.arange(int(n.sum()))
+            place = start[every] + np.repeat(at.astype(np.int64), n)
+            rows.append((block, shard, blobs.pack(np.repeat(row, n), place.astype("<u4"), length[every].astype("<u4"))))
     return exchange.answered(rows)
 
 

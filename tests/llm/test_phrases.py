@@ -42,9 +42,11 @@ def test_equal_hashes_of_unequal_words_remove_nothing(spark):
     assert phrases._confirm(table, 13).num_rows == 0
 
 
-def test_automaton_finds_every_occurrence():
+@pytest.mark.parametrize("characters", [1 << 20, 3])
+def test_automaton_finds_every_occurrence(characters):
+    """Also where the words are too many for a character each."""
     words = [b"%d" % (k * k % 7) for k in range(60)]
-    a = phrases.Automaton(4)
+    a = phrases.Automaton(4, characters)
     a.add(words[:20], 9)
     a.add(words[10:30], 5)
     a.compile()
@@ -54,7 +56,18 @@ def test_automaton_finds_every_occurrence():
             key = tuple(part[i : i + 4])
             patterns[key] = min(owner, patterns.get(key, owner))
     want = [(i, patterns[tuple(words[i : i + 4])]) for i in range(57) if tuple(words[i : i + 4]) in patterns]
-    assert list(a.matches(words)) == want
+    assert a.width == (1 if characters > 3 else 2)
+    assert list(zip(*(x.tolist() for x in a.find(words)), strict=True)) == want
+
+
+def test_numbers_beyond_the_surrogates():
+    words = [b"%d" % k for k in range(0xD7F0, 0xD820)]
+    a = phrases.Automaton(3)
+    a.numbers = {b"%d" % k: k + 1 for k in range(0xD900)}
+    a.add(words, 4)
+    a.compile()
+    start, owner = a.find([b"x", *words, b"y"])
+    assert start.tolist() == list(range(1, len(words) - 1)) and set(owner.tolist()) == {4}
 
 
 @pytest.mark.parametrize("size", [2, 13])
