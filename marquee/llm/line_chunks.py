@@ -1,17 +1,20 @@
 """Content-defined line chunks (operator 4).
 
-Each line is hashed; a rolling hash over the last ``SPAN`` line hashes ends a
-chunk wherever its low bits are zero, so lines put in or taken out move only
-the boundaries beside them. Chunks of two or more lines with text are compared
-over the whole corpus: hash shards find the repeated ones and name the first
-document that holds each; that document sends the chunk's bytes once, all
-others are compared with them, and only byte-equal repeats are removed.
-
-One boundary function misses the repeated runs in which no whole chunk falls.
-With ``every_pair`` the chunks are instead all pairs of neighbouring lines with
-text, and the white lines between them: what any boundaries could put at the
-ends of a chunk. Every repeated run of two or more such lines is then removed
-whole, wherever it begins.
+Every line with text is hashed, and a hash rolls over each ``SPAN`` neighbouring
+line hashes of a document. ``SEEDS`` boundary functions read it: for each of
+them half of the windows open a chunk at their first line and half close one at
+their last. A chunk runs from the last opening before a closing to the first
+closing after it. Its boundaries follow from its own lines alone, so lines put
+in, taken out or differing around it move nothing, and whatever two documents
+share is cut in the same places. A function starts a chunk at a third of the lines
+of a long run; together they miss a run of two lines with probability
+(3/4)^SEEDS, and the ends of long runs with (2/3)^SEEDS.
+
+Chunks are compared over the whole corpus: hash shards find the repeated ones
+and name the first document that holds each; that document sends the chunk's
+bytes once, all others are compared with them, and only byte-equal repeats are
+removed. The chunks of one function overlap by one line at most, so what is
+sent grows with the lines, however often a line repeats.
 """
 
 from __future__ import annotations
@@ -27,17 +30,41 @@ from marquee.llm import blobs, exchange
 from marquee.llm.common import partitions
 from marquee.llm.textnp import SPACES, U64, buffer, mix, span_hashes
 
-SPAN = 3  # line hashes in the rolling hash
-MEAN = 4  # lines between boundaries, on average; a power of two
+SPAN = 2  # line hashes in the rolling hash, and the fewest lines of a chunk
+SEEDS = 16  # boundary functions
 _FACTOR = 0x9E3779B97F4A7C15
 RESULT = "doc_id long, text string, n_lines long, n_removed long"
 _NO_ID = -(1 << 62)
 
 
+def boundaries(hashes: np.ndarray, row: np.ndarray, seeds: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of all distinct chunks that the boundary functions
+    find among the line hashes, ascending; none crosses a row."""
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    n = len(hashes) - SPAN + 1
+    if n > 0:
+        roll = np.zeros(n, dtype=np.uint64)
+        for j in range(SPAN):
+            roll = roll * U64(_FACTOR) + hashes[j : j + n]
+        whole = row[SPAN - 1 :] == row[:n]
+        place = np.arange(n)
+        for seed in range(seeds):
+            bits = mix(roll + U64((seed + 1) * _FACTOR % (1 << 64)))
+            opens, closes = whole & (bits & U64(1) == 1), whole & (bits & U64(2) == 2)
+            opened = np.maximum.accumulate(np.where(opens, place, -1))
+            ends = np.flatnonzero(closes & (opened >= 0))
+            begin, at = np.unique(opened[ends], return_index=True)  # the first closing of each opening
+            end = ends[at]
+            same = row[begin] == row[end]
+            found.append(np.stack([begin[same], end[same] + SPAN - 1], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
 class Chunks:
     """The chunks of a block's texts, in row order."""
 
-    def __init__(self, texts: pa.ChunkedArray, every_pair: bool = False):
+    def __init__(self, texts: pa.ChunkedArray, seeds: int = SEEDS):
         data, offsets = buffer(texts)
         self.data = data
         breaks = np.flatnonzero(data == 10)
@@ -53,39 +80,22 @@ class Chunks:
         self.line_ends = ends[np.lexsort((ends, end_row))]
         inked = np.concatenate([[0], np.cumsum(~SPACES[data])])
         self.inked = inked[self.line_ends] > inked[self.line_starts]
-        if every_pair:
-            self._pairs()
-        else:
-            self._cut()
-        starts, ends = self.line_starts[self.first_line], self.line_ends[self.last_line]
-        self.hashes = span_hashes(data, starts, ends)[self.eligible]
-
-    def _pairs(self) -> None:
-        """Chunks of a line with text and the next one of the same row. They
-        overlap, but both their starts and their ends ascend."""
-        lines = np.flatnonzero(self.inked)
-        same = np.flatnonzero(self.line_row[lines[1:]] == self.line_row[lines[:-1]])
-        self.first_line, self.last_line = lines[same], lines[same + 1]
+        lines = np.flatnonzero(self.inked)  # only these open and close chunks
+        first, last = boundaries(span_hashes(data, self.line_starts[lines], self.line_ends[lines]), self.line_row[lines], seeds)
+        self.first_line, self.last_line = lines[first], lines[last]
         self.row = self.line_row[self.first_line]
-        self.eligible = np.arange(len(same))
+        self.hashes = self._hashes()
 
-    def _cut(self) -> None:
-        """Chunks between the places where the rolling hash has zero low bits."""
+    def _hashes(self) -> np.ndarray:
+        """Of the bytes of each chunk, taken line by line (with the white lines between)."""
         h = span_hashes(self.data, self.line_starts, self.line_ends)
-        first = np.concatenate([[True], self.line_row[1:] != self.line_row[:-1]]) if len(h) else np.zeros(0, bool)
-        place = np.arange(len(h)) - np.maximum.accumulate(np.where(first, np.arange(len(h)), 0)) if len(h) else first
-        roll, factor = h.copy(), U64(1)
-        for j in range(1, SPAN):
-            factor = U64((int(factor) * _FACTOR) % (1 << 64))
-            before = np.concatenate([np.zeros(min(j, len(h)), np.uint64), h[: max(0, len(h) - j)]])
-            roll += np.where(place >= j, before, U64(0)) * factor
-        final = np.concatenate([first[1:], [True]]) if len(h) else first
-        last = np.flatnonzero(((mix(roll) & U64(MEAN - 1)) == 0) | final)
-        self.first_line = np.concatenate([[0], last[:-1] + 1]).astype(np.int64) if len(last) else last
-        self.last_line = last
-        self.row = self.line_row[last]
-        lines = np.concatenate([[0], np.cumsum(self.inked)])
-        self.eligible = np.flatnonzero(lines[self.last_line + 1] - lines[self.first_line] >= 2)
+        out = np.zeros(len(self.first_line), dtype=np.uint64)
+        at, left = self.first_line.copy(), np.arange(len(self.first_line))
+        while len(left):
+            out[left] = mix(out[left] * U64(_FACTOR) + h[at[left]])
+            at[left] += 1
+            left = left[at[left] <= self.last_line[left]]
+        return out
 
     def text(self, chunk: int) -> bytes:
         return self.data[self.line_starts[self.first_line[chunk]] : self.line_ends[self.last_line[chunk]]].tobytes()
@@ -95,11 +105,11 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").fill_null(_NO_ID).to_numpy()
 
 
-def _keys(table: pa.Table, every_pair: bool) -> tuple[np.ndarray, list[np.ndarray]]:
+def _keys(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     table = exchange.ordered(table)
-    chunks, ids = Chunks(table.column("text"), every_pair), _ids(table)
+    chunks, ids = Chunks(table.column("text")), _ids(table)
     found, first, n = np.unique(chunks.hashes, return_index=True, return_counts=True)
-    return found, [ids[chunks.row[chunks.eligible[first]]], n > 1]
+    return found, [ids[chunks.row[first]], n > 1]
 
 
 def _owners(keys: list[np.ndarray], values: list[list[np.ndarray]], blocks: list[int]) -> list[list[np.ndarray]]:
@@ -117,99 +127,118 @@ def _owners(keys: list[np.ndarray], values: list[list[np.ndarray]], blocks: list
     return [[c] for c in np.split(code, np.cumsum(size)[:-1])]
 
 
-def _repeats(table: pa.Table, codes: pa.Table, every_pair: bool) -> tuple[Chunks, np.ndarray, np.ndarray]:
-    """Of a block in its order: its chunks, which eligible ones are repeated, and
-    which of these are the corpus's first."""
-    chunks = Chunks(table.column("text"), every_pair)
+def _repeats(table: pa.Table, codes: pa.Table) -> tuple[Chunks, np.ndarray, np.ndarray]:
+    """Of a block in its order: its chunks, which of them are the corpus's
+    first of a repeated one, and which are repeats. A repeat that shares a line
+    with the first one (lines that repeat at once) is neither: it would take
+    lines of the occurrence that stays."""
+    chunks = Chunks(table.column("text"))
     found, first, back = np.unique(chunks.hashes, return_index=True, return_inverse=True)
     given = exchange.answers(codes)
     code = given[0] if given else np.zeros(0, np.uint8)
     repeated = code[back] > 0 if len(found) else np.zeros(0, bool)
     origin = np.zeros(len(chunks.hashes), dtype=bool)
     origin[first[code == 1]] = True
-    # a line that stands twice in a row: the pair that shares a line with the first one is part of it
-    shares = chunks.first_line[chunks.eligible[1:]] == chunks.last_line[chunks.eligible[:-1]]
-    origin[1:] |= origin[:-1] & shares & (chunks.hashes[1:] == chunks.hashes[:-1])
-    return chunks, repeated, origin
-
-
-def remove_repeated_chunks(docs: DataFrame, extra: tuple[str, ...] = (), every_pair: bool = False) -> DataFrame:
+    if len(found):
+        holder = first[back]
+        shares = (chunks.row == chunks.row[holder]) & (chunks.first_line <= chunks.last_line[holder])
+        repeated &= origin | ~(shares & (code[back] == 1))
+    return chunks, origin, repeated & ~origin
+
+
+def _outer(chunks: Chunks, repeats: np.ndarray) -> np.ndarray:
+    """The repeats that lie in no other repeat: removing those removes all."""
+    k = np.flatnonzero(repeats)
+    k = k[np.lexsort((-chunks.last_line[k], chunks.first_line[k]))]
+    if not len(k):
+        return k
+    reach = np.maximum.accumulate(chunks.last_line[k])
+    return k[np.concatenate([[True], chunks.last_line[k[1:]] > reach[:-1]])]
+
+
+def _claim(table: pa.Table, codes: pa.Table, shards: int) -> pa.Table:
+    """The bytes of the block's first and repeated chunks, to the shards of their hashes."""
+    block = exchange.block_of(table)
+    chunks, origin, repeats = _repeats(exchange.ordered(table), codes)
+    sent: dict[int, list[tuple[int, bool, bytes]]] = {}
+    seen = set()
+    for k in [*np.flatnonzero(origin).tolist(), *_outer(chunks, repeats).tolist()]:
+        entry = int(chunks.hashes[k]), bool(origin[k]), chunks.text(k)
+        if entry not in seen:
+            seen.add(entry)
+            shard = int(exchange.shard_of(chunks.hashes[k : k + 1], shards)[0])
+            sent.setdefault(shard, []).append(entry)
+
+    def rows() -> Iterator[tuple[int, int, bytes]]:
+        for shard, entries in sent.items():
+            h, own, raw = zip(*entries, strict=True)
+            sizes = np.array([len(r) for r in raw], dtype="<u4")
+            text = np.frombuffer(b"".join(raw), np.uint8)
+            yield shard, block, blobs.pack(np.array(h, np.uint64), np.array(own, bool), sizes, text)
+
+    return exchange.routed(rows())
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Hashes of each block whose every text equals the first document's."""
+    origin: dict[int, bytes] = {}
+    blocks, claims = table.column("block").to_pylist(), []
+    for data in table.column("data"):
+        h, own, sizes, text = blobs.unpack(data.as_py())
+        ends = np.cumsum(sizes.astype(np.int64))
+        raw = [text[e - s : e].tobytes() for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
+        origin |= {int(k): r for k, o, r in zip(h, own, raw, strict=True) if o}
+        claims.append(list(zip(h.tolist(), raw, strict=True)))
+    rows = []
+    for block, pairs in zip(blocks, claims, strict=True):
+        unlike = {k for k, r in pairs if origin.get(k) != r}
+        equal = np.array(sorted({k for k, _ in pairs} - unlike), dtype=np.uint64)
+        rows.append((block, table.column("shard")[0].as_py(), blobs.pack(equal, ascending=(0,))))
+    return exchange.answered(rows)
+
+
+def _cut(table: pa.Table, codes: pa.Table, equal: pa.Table) -> pa.Table:
+    """The block's rows without the repeats whose bytes were equal."""
+    table = exchange.ordered(table)
+    chunks, _, repeats = _repeats(table, codes)
+    given = exchange.answers(equal)
+    gone = _outer(chunks, repeats)
+    gone = gone[np.isin(chunks.hashes[gone], given[0] if given else [])]
+    dropped = np.zeros(len(chunks.line_row) + 1, dtype=np.int64)
+    np.add.at(dropped, chunks.first_line[gone], 1)
+    np.add.at(dropped, chunks.last_line[gone] + 1, -1)
+    dropped = np.cumsum(dropped[:-1]) > 0
+    n_lines = np.bincount(chunks.line_row, minlength=table.num_rows)
+    n_removed = np.bincount(chunks.line_row[dropped], minlength=table.num_rows)
+    texts = table.column("text").to_pylist()
+    at = np.concatenate([[0], np.cumsum(n_lines)])
+    for r in np.flatnonzero(n_removed).tolist():
+        lines = texts[r].split("\n")
+        texts[r] = "\n".join([x for x, d in zip(lines, dropped[at[r] : at[r + 1]], strict=True) if not d])
+    cols = [table.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_lines), pa.array(n_removed)]
+    names = ["doc_id", "text", "n_lines", "n_removed"]
+    kept = [c for c in table.column_names if c not in ("block", "doc_id", "text")]
+    return pa.Table.from_arrays(cols + [table.column(c) for c in kept], names=names + kept)
+
+
+def remove_repeated_chunks(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Every row with its repeated chunks cut out: doc_id, text (the lines left),
     n_lines, n_removed, and the ``extra`` columns as they came.
 
     The first occurrence, by (doc_id, text, place), stays; a repeat inside one
-    document goes too. Null text is empty; null doc_ids come first; repeated
-    rows lose their chunks from the second row on; lines of white space alone
-    never make a chunk eligible, and single lines are left alone; an empty
+    document goes too, unless it shares a line with the first. Null text is
+    empty; null doc_ids come first; repeated rows lose their chunks from the
+    second row on; lines of white space alone open and close no chunk (between
+    two others they belong to it), and single lines are left alone; an empty
     table gives no rows; columns not asked for are left behind. Repeats are
-    judged on the input. ``every_pair`` finds all repeated runs; without it,
-    those that hold a whole chunk.
+    judged on the input.
     """
     blocked, back = exchange.blocks(docs, extra)
     shards = partitions(docs.sparkSession)
-    codes = exchange.ask(blocked, lambda t: _keys(t, every_pair), _owners, shards)
-
-    def claim(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
-        block = exchange.block_of(table)
-        chunks, repeated, origin = _repeats(exchange.ordered(table), replies["codes"], every_pair)
-        sent: dict[int, list[tuple[int, bool, bytes]]] = {}
-        seen = set()
-        for k in np.flatnonzero(repeated).tolist():
-            entry = int(chunks.hashes[k]), bool(origin[k]), chunks.text(chunks.eligible[k])
-            if entry not in seen:
-                seen.add(entry)
-                shard = int(exchange.shard_of(chunks.hashes[k : k + 1], shards)[0])
-                sent.setdefault(shard, []).append(entry)
-
-        def rows() -> Iterator[tuple[int, int, bytes]]:
-            for shard, entries in sent.items():
-                h, own, raw = zip(*entries, strict=True)
-                sizes = np.array([len(r) for r in raw], dtype="<u4")
-                text = np.frombuffer(b"".join(raw), np.uint8)
-                yield shard, block, blobs.pack(np.array(h, np.uint64), np.array(own, bool), sizes, text)
-
-        return exchange.routed(rows())
-
-    def compare(table: pa.Table) -> pa.Table:
-        """Hashes of each block whose every text equals the first document's."""
-        origin: dict[int, bytes] = {}
-        blocks, claims = table.column("block").to_pylist(), []
-        for data in table.column("data"):
-            h, own, sizes, text = blobs.unpack(data.as_py())
-            ends = np.cumsum(sizes.astype(np.int64))
-            raw = [text[e - s : e].tobytes() for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
-            origin |= {int(k): r for k, o, r in zip(h, own, raw, strict=True) if o}
-            claims.append(list(zip(h.tolist(), raw, strict=True)))
-        rows = []
-        for block, pairs in zip(blocks, claims, strict=True):
-            unlike = {k for k, r in pairs if origin.get(k) != r}
-            equal = np.array(sorted({k for k, _ in pairs} - unlike), dtype=np.uint64)
-            rows.append((block, table.column("shard")[0].as_py(), blobs.pack(equal, ascending=(0,))))
-        return exchange.answered(rows)
-
-    def cut(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
-        table = exchange.ordered(table)
-        chunks, repeated, origin = _repeats(table, replies["codes"], every_pair)
-        given = exchange.answers(replies["equal"])
-        gone = chunks.eligible[repeated & ~origin & np.isin(chunks.hashes, given[0] if given else [])]
-        dropped = np.zeros(len(chunks.line_row) + 1, dtype=np.int64)
-        np.add.at(dropped, chunks.first_line[gone], 1)
-        np.add.at(dropped, chunks.last_line[gone] + 1, -1)
-        dropped = np.cumsum(dropped[:-1]) > 0
-        n_lines = np.bincount(chunks.line_row, minlength=table.num_rows)
-        n_removed = np.bincount(chunks.line_row[dropped], minlength=table.num_rows)
-        texts = table.column("text").to_pylist()
-        at = np.concatenate([[0], np.cumsum(n_lines)])
-        for r in np.flatnonzero(n_removed).tolist():
-            lines = texts[r].split("\n")
-            texts[r] = "\n".join([x for x, d in zip(lines, dropped[at[r] : at[r + 1]], strict=True) if not d])
-        cols = [table.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_lines), pa.array(n_removed)]
-        names = ["doc_id", "text", "n_lines", "n_removed"]
-        kept = [c for c in table.column_names if c not in ("block", "doc_id", "text")]
-        return pa.Table.from_arrays(cols + [table.column(c) for c in kept], names=names + kept)
-
-    claims = exchange.finish(blocked, {"codes": codes}, claim, exchange.ROUTED)
-    equal = claims.repartition(shards, "shard").groupBy("shard").applyInArrow(compare, exchange.ANSWER)
+    codes = exchange.ask(blocked, _keys, _owners, shards)
+
+    claims = exchange.finish(blocked, {"codes": codes}, lambda t, r: _claim(t, r["codes"], shards), exchange.ROUTED)
+    equal = claims.repartition(shards, "shard").groupBy("shard").applyInArrow(_compare, exchange.ANSWER)
     schema = RESULT + "".join(f", {c} {blocked.schema[c].dataType.simpleString()}" for c in back)
-    done = exchange.finish(blocked, {"codes": codes, "equal": equal}, cut, schema)
+    done = exchange.finish(blocked, {"codes": codes, "equal": equal}, lambda t, r: _cut(t, r["codes"], r["equal"]), schema)
     return done.select("doc_id", "text", "n_lines", "n_removed", *[F.col(c).alias(name) for c, name in back.items()])

@@ -47,8 +47,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the runs of lines that an earlier one holds."""
-    rows = line_chunks.remove_repeated_chunks(table(spark, sf_dir, "documents"), every_pair=True)
+    """All documents without the line chunks that an earlier one holds."""
+    rows = line_chunks.remove_repeated_chunks(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
