@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import bpe, importance, jaccard, line_chunks, packing, winnowing
-from marquee.llm.common import table, written
+from marquee.llm.common import WHITESPACE, table, written
 
 SEQUENCE = 1024
 END_ID = 0
@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     cut = line_chunks.remove_repeated_chunks(docs.select("doc_id", "text", *others), others)
     changed = cut["n_removed"] > 0
-    cut = cut.where(~changed | (F.length(F.trim(F.col("text"))) > 0))
+    cut = cut.where(~changed | (F.length(F.btrim("text", F.lit(WHITESPACE))) > 0))
     out = {c: F.col(c) for c in docs.columns}
     if "n_chars" in out:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
