@@ -10,13 +10,13 @@ a document with a smaller doc_id.
    claim that many documents of a block share is sent once. The level of a
    window says how many texts hold it: beyond ``SHARED`` the claims are dealt to
    two, four, ... cells of other shards, and the owner's passage goes to each.
-3. A shard compiles an Aho-Corasick automaton over the windows of its passages,
-   a character a word, and streams the claims through it. Every match is a confirmed
+3. A shard compiles Aho-Corasick automata over the windows of its passages, a
+   character a word, and streams the claims through their owner's. Every match is a confirmed
    occurrence, so equal hashes of unequal words remove nothing.
 4. The confirmed spans return to their blocks and the words are cut.
 
-Automata are as large as one shard's passages; shards follow the session's
-shuffle setting. A cell holds about ``SHARED`` texts' claims on one owner,
+Shards follow the session's shuffle setting; an automaton has a fixed size, or
+that of one owner's passages. A cell holds about ``SHARED`` texts' claims on one owner,
 however many near copies there are; all agree on the level of a window, since
 one shard counts it. An owner is a doc_id: rows that share one (or have none)
 share its cells.
@@ -38,6 +38,7 @@ from marquee.llm.textnp import U64, Words, gram_hashes, gram_starts, mix, span_h
 
 WINDOW = 13
 SHARED = 64  # texts that claim a window in one cell
+AUTOMATON = 1 << 17  # bytes of passages in an automaton; one owner's stay together
 RESULT = "doc_id long, n_words long, n_removed long, kept string"
 _NO_ID = -(1 << 62)  # stands for a null doc_id: before all others
 _NONE = (1 << 63) - 1
@@ -171,12 +172,11 @@ def _texts(pairs: list[tuple[int, bytes]]) -> list[np.ndarray]:
     return [np.array([o for o, _ in pairs], np.int64), sizes, np.frombuffer(b"".join(r for _, r in pairs), np.uint8)]
 
 
-def _split(sizes: np.ndarray, raw: np.ndarray) -> Iterator[list[bytes]]:
-    """The words of each text."""
+def _pieces(sizes: np.ndarray, raw: np.ndarray) -> Iterator[bytes]:
     ends = np.cumsum(sizes.astype(np.int64)).tolist()
     whole = raw.tobytes()
     for size, end in zip(sizes.tolist(), ends, strict=True):
-        yield whole[end - size : end].split(b" ")
+        yield whole[end - size : end]
 
 
 class Automaton:
@@ -234,7 +234,7 @@ class Automaton:
 
 def _spans(automaton: Automaton, owners: np.ndarray, texts: Iterator[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans (text, first word, number of words) of the texts that windows of
-    their owner, or of a smaller one, cover. All texts are streamed as one, with
+    their owner cover. All texts are streamed as one, with
     a word that no passage holds between them."""
     words: list[bytes] = []
     bounds = []
@@ -245,7 +245,7 @@ def _spans(automaton: Automaton, owners: np.ndarray, texts: Iterator[list[bytes]
     begins = np.array(bounds, dtype=np.int64)
     start, who = automaton.find(words)
     text = np.searchsorted(begins, start, side="right") - 1
-    ours = who <= owners[text]
+    ours = who == owners[text]
     start, text = start[ours], text[ours]
     new = np.ones(len(start), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (start[1:] > start[:-1] + automaton.size)
@@ -255,17 +255,32 @@ def _spans(automaton: Automaton, owners: np.ndarray, texts: Iterator[list[bytes]
 
 
 def _confirm(table: pa.Table, size: int) -> pa.Table:
-    automaton, sent = Automaton(size), []
-    for data in table.column("data"):
-        parts = blobs.unpack(data.as_py())
-        for owner, words in zip(parts[0].tolist(), _split(*parts[1:3]), strict=True):
-            automaton.add(words, owner)
-        sent.append(parts[3:])
-    automaton.compile()
+    """Confirmed spans of a shard's claims. Owners are dealt to automata of about
+    ``AUTOMATON`` bytes of passages, built one after the other: a claim needs
+    only the passages of its owner, and small ones are fast and soon freed."""
+    messages = [blobs.unpack(d.as_py()) for d in table.column("data")]
+    groups = 1 + sum(len(m[2]) for m in messages) // AUTOMATON
+    dealt = lambda owners: (mix(owners.view(np.uint64)) % U64(groups)).astype(np.int64)
+    held = [(dealt(m[0]), m[0], list(_pieces(*m[1:3]))) for m in messages]
+    told = [(dealt(m[3]), m[3], list(_pieces(*m[4:6]))) for m in messages]
+    found: list[list[tuple[np.ndarray, ...]]] = [[] for _ in messages]
+    for group in range(groups):
+        automaton = Automaton(size)
+        for home, owners, texts in held:
+            for k in np.flatnonzero(home == group).tolist():
+                automaton.add(texts[k].split(b" "), int(owners[k]))
+        automaton.compile()
+        for spans, (home, owners, texts) in zip(found, told, strict=True):
+            mine = np.flatnonzero(home == group)
+            text, start, length = _spans(automaton, owners[mine], (texts[k].split(b" ") for k in mine.tolist()))
+            spans.append((mine[text], start, length))
     shard, rows = table.column("shard")[0].as_py(), []
-    for block, (owners, sizes, raw, number, row, at) in zip(table.column("block").to_pylist(), sent, strict=True):
-        text, start, length = _spans(automaton, owners, _split(sizes, raw))
-        many = np.bincount(text, minlength=len(owners))
+    for block, message, spans in zip(table.column("block").to_pylist(), messages, found, strict=True):
+        text, start, length = (np.concatenate(x) for x in zip(*spans, strict=True))
+        order = np.argsort(text, kind="stable")
+        start, length = start[order], length[order]
+        number, row, at = message[6:]
+        many = np.bincount(text, minlength=len(message[3]))
         n = many[number]
         if n.sum():
             # the spans of a claim's text, once for every place that the claim stands at

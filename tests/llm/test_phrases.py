@@ -42,6 +42,24 @@ def test_equal_hashes_of_unequal_words_remove_nothing(spark):
     assert phrases._confirm(table, 13).num_rows == 0
 
 
+def owners_apart(size):
+    """Spans of three owners' claims, some also in a passage of another owner."""
+    words = lambda a, b: b" ".join(b"w%d" % k for k in range(a, b))
+    own = [(1, words(0, 30)), (2, words(20, 60)), (2, words(70, 90)), (9, words(200, 220))]
+    told = [(1, words(5, 25)), (2, words(15, 50) + b" x " + words(70, 85)), (9, words(195, 220)), (7, words(0, 30))]
+    places = phrases.np.array([0, 1, 2, 3, 1], "<u4"), phrases.np.array([0, 1, 2, 3, 8], "<u4"), phrases.np.array([4, 0, 0, 0, 100], "<u4")
+    row = blobs.pack(*phrases._texts(own), *phrases._texts(told), *places)
+    got = phrases._confirm(exchange.routed(iter([(0, 5, row)])), size)
+    return sorted(zip(*(x.tolist() for x in blobs.unpack(got.column("data")[0].as_py())), strict=True))
+
+
+@pytest.mark.parametrize("held", [1, 1 << 30])
+def test_every_owner_meets_its_claims(monkeypatch, held):
+    monkeypatch.setattr(phrases, "AUTOMATON", held)
+    want = [(0, 4, 20), (1, 5, 30), (1, 36, 15), (2, 5, 20), (8, 105, 30), (8, 136, 15)]
+    assert owners_apart(13) == want
+
+
 @pytest.mark.parametrize("characters", [1 << 20, 3])
 def test_automaton_finds_every_occurrence(characters):
     """Also where the words are too many for a character each."""
