@@ -5,9 +5,10 @@ Jaccard similarity of at least 4/5 share at least 4(n + m)/9 >= 4n/5 shingles,
 so with all shingles in one global order (rarest first) the first
 n - ceil(4n/5) + l of both share at least l. Each document picks its own l by
 the estimated cost of its prefix: a longer prefix meets more postings, but asks
-more matches of a pair before it is verified. A pair is a candidate when its
-prefixes share min(l, l') shingles. Shingles of a single document are never
-posted, which is exact.
+more matches of a pair before it is verified. A pair asks k = min(l, l')
+matches of prefixes cut to its own sizes: the first n - ceil(4(n + m)/9) + k and
+m - ceil(4(n + m)/9) + k. Shingles of a single document are never posted, which
+is exact.
 
 1. Equal sets form classes; one representative goes on.
 2. Document frequencies: blocks ask hash shards (``exchange``).
@@ -16,8 +17,12 @@ posted, which is exact.
    one only. Groups of near copies fall into one component at a cost linear in
    the postings.
 5. Multi-match round: pairs of different components with enough shared prefix
-   shingles are verified. Pairs inside a component need no check, since only
-   components are asked for.
+   shingles are verified. They meet on (shingle, size band): the smaller one
+   posts to its own band, with a prefix for partners of at least its size (a
+   ninth of its shingles), the larger one to each band that a partner may have.
+   Components meet first, by the furthest any of their documents reaches, then
+   documents. Pairs inside a component need no check, since only components are
+   asked for.
 
 Shingles are 64-bit hashes; a pair is verified on the upper 48 bits of its two
 sets. Nothing is collected, and nothing grows with the square of a group of
@@ -37,14 +42,16 @@ from marquee.llm import blobs, exchange
 from marquee.llm.common import partitions, written
 from marquee.llm.components import components
 from marquee.llm.textnp import U64, Words, gram_hashes, mix
+from marquee.operators.skew import heavy_keys, hot_key_join
 
 SHINGLE = 5
-LONGEST = 4  # largest number of prefix matches a document may ask for
-VERIFY_COST = 16.0  # of one verification, in postings met
+VERIFY_COST = 0.125  # of the verifications a posting may lead to: one costs 16, one in 128 stands the pair's own prefix
+BAND = 1.12  # ratio of sizes within a band
 TOKEN_BITS = 40  # of a shingle hash, for frequencies: shared leading bits only add to them
-SALTS = 16  # parts that a document's verifications are dealt to
-OUT = "kind int, doc_id long, rid long, other long, n int, l int, own int, data binary"
-_OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("other", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("own", pa.int32()), ("data", pa.binary())])
+SETS_PER_TASK = 1024  # sets that one document is verified against in one task
+SPLIT_KEYS = 1024  # documents whose verifications are dealt to several tasks: any other has under 1 / 1024 of them
+OUT = "kind int, doc_id long, rid long, other long, n int, l int, own int, pos int, data binary"
+_OUT = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("other", pa.int64()), ("n", pa.int32()), ("l", pa.int32()), ("own", pa.int32()), ("pos", pa.int32()), ("data", pa.binary())])
 _DOC, _POST, _SET = 0, 1, 2
 
 
@@ -127,14 +134,9 @@ def choose_prefix(df: np.ndarray, n: int) -> tuple[int, int]:
     Postings met are sum(df - 1) over the prefix; no more than that over l
     documents can meet l times, and each of those costs a verification."""
     base = n - least_overlap(n)
-    best, choice = np.inf, (1, base + 1)
-    met = np.cumsum(df[: base + LONGEST] - 1.0)
-    for ell in range(1, min(LONGEST, least_overlap(n)) + 1):
-        postings = met[base + ell - 1]
-        cost = postings + VERIFY_COST * postings / ell
-        if cost < best:
-            best, choice = cost, (ell, base + ell)
-    return choice
+    met = np.cumsum(df - 1.0)[base:]
+    ell = 1 + int(np.argmin(met * (1.0 + VERIFY_COST / np.arange(1, len(met) + 1))))
+    return ell, base + ell
 
 
 def _frequency_keys(table: pa.Table, replies: dict[str, pa.Table], shards: int) -> pa.Table:
@@ -151,7 +153,7 @@ def _postings(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
     block = _Block(table)
     rep = block.classes(replies["classes"])
     ids = block.doc_ids.to_pylist()
-    rows = [(_DOC, i, r, c, len(s), 0, 0, None) for i, r, c, s in zip(ids, block.rids.tolist(), rep.tolist(), block.sets, strict=True)]
+    rows = [(_DOC, i, r, c, len(s), 0, 0, 0, None) for i, r, c, s in zip(ids, block.rids.tolist(), rep.tolist(), block.sets, strict=True)]
     own = np.flatnonzero((rep == block.rids) & [len(s) > 0 for s in block.sets])
     if len(own):
         cat = np.concatenate([block.sets[r] for r in own]) >> U64(64 - TOKEN_BITS)
@@ -163,23 +165,25 @@ def _postings(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
             own_df, at = df[at : at + len(s)], at + len(s)
             order = np.argsort(own_df, kind="stable")  # sets ascend, so ties go by hash
             ell, length = choose_prefix(own_df[order].astype(np.float64), len(s))
-            posted = [k for k in order[:length].tolist() if own_df[k] > 1]
+            posted = [(place, k) for place, k in enumerate(order[:length].tolist()) if own_df[k] > 1]
             rid = int(block.rids[r])
             own_only = int(np.sum(own_df == 1))
-            rows += [(_POST, None, rid, int(s[k].astype(np.int64)), len(s), ell, own_only, None) for k in posted]
+            rows += [(_POST, None, rid, int(s[k].astype(np.int64)), len(s), ell, own_only, place, None) for place, k in posted]
             if posted:
-                rows.append((_SET, None, rid, None, len(s), 0, own_only, blobs.pack(s >> U64(16), ascending=(0,))))
+                rows.append((_SET, None, rid, None, len(s), 0, own_only, 0, blobs.pack(s >> U64(16), ascending=(0,))))
     cols = list(zip(*rows, strict=True)) or [[]] * len(_OUT)
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, _OUT.types, strict=True)], schema=_OUT)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The linked ones of the pairs (a, b). A document that meets very many
-    others is dealt to SALTS tasks, its own set copied to each."""
-    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
-    dealt = pairs.select("a", "b", salt.alias("salt"))
-    right = dealt.join(sets.select(F.col("rid").alias("b"), "data"), "b")
-    right = right.select(F.col("a").alias("to"), F.col("salt").alias("part"), "b", F.col("data").alias("other"))
+    others is dealt to as many tasks as their count asks for, its own set copied
+    to each."""
+    hot = F.broadcast(heavy_keys(pairs, "a", SETS_PER_TASK, SPLIT_KEYS))
+    salt = F.pmod(F.xxhash64("b"), F.coalesce("__parts", F.lit(1))).cast("int")
+    dealt = pairs.join(hot, F.col("a") == F.col("__hot"), "left").select("a", "b", salt.alias("salt"))
+    right = hot_key_join(dealt, sets, "b", "rid", columns=["data"], rename={"data": "other"}, spread_by=["a"])
+    right = right.select(F.col("a").alias("to"), F.col("salt").alias("part"), "b", "other")
     left = dealt.select("a", "salt").distinct().join(sets.select(F.col("rid").alias("a"), "data"), "a")
 
     def run(one: pa.Table, many: pa.Table) -> pa.Table:
@@ -202,6 +206,52 @@ def _possible(n: str, own_n: str, m: str, own_m: str) -> F.Column:
     return F.least(F.col(n) - F.col(own_n), F.col(m) - F.col(own_m)) * 9 >= (F.col(n) + F.col(m)) * 4
 
 
+def _band(n: F.Column) -> F.Column:
+    return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
+
+
+def _banded(posts: DataFrame) -> DataFrame:
+    """The postings on (token, band) that a pair of two components may meet on.
+
+    ``reach`` is the size of the largest partner that a posting is in the prefix
+    for, times four: pos < n - ceil(4(n + m)/9) + l. ``home`` rows are for
+    partners of at least the document's size; such a document has at most a
+    ninth of its shingles to itself."""
+    posts = posts.withColumn("reach", 5 * F.col("n") - 9 * (F.col("pos") + 1 - F.col("l")))
+    least = F.ceil(F.col("n") * 4 / 5)
+    rows = posts.select("*", F.explode(F.sequence(_band(least), _band(F.col("n")))).alias("band"))
+    from_size = F.floor(F.pow(F.lit(BAND), "band") * (1 - 1e-9))  # no size of the band is below it
+    rows = rows.where(F.col("reach") >= 4 * F.greatest(least, from_size))
+    home = (F.col("band") == _band(F.col("n"))) & (F.col("reach") >= 4 * F.col("n")) & (F.col("own") * 9 <= F.col("n"))
+    rows = rows.withColumn("home", home)
+    mixed = rows.groupBy("token", "band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.max("home").alias("z"))
+    return rows.join(mixed.where("x <> y and z").select("token", "band"), ["token", "band"], "left_semi")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """(a, b, asked) for each shared shingle within the prefixes of a pair of
+    different components; ``asked`` is how many of them it must have."""
+    own = F.struct("rid", "n", "own", "l", "reach")
+    homes = rows.where("home").groupBy("token", "band", F.col("component").alias("c"))
+    homes = homes.agg(F.max("reach").alias("c_reach"), F.min("n").alias("c_least"))
+    visits = rows.groupBy("token", "band", F.col("component").alias("d"))
+    visits = visits.agg(F.max("reach").alias("d_reach"), F.min("n").alias("d_least"), F.max("n").alias("d_most"))
+    across = homes.join(visits, ["token", "band"])
+    across = across.where("c <> d and c_reach >= 4 * greatest(c_least, d_least) and d_reach >= 4 * c_least and d_most >= c_least")
+    one = rows.where("home").select("token", "band", F.col("component").alias("c"), own.alias("p"))
+    two = rows.select("token", "band", F.col("component").alias("d"), own.alias("q"))
+    met = across.join(one, ["token", "band", "c"])
+    met = met.where("p.reach >= 4 * d_least and d_reach >= 4 * p.n and d_most >= p.n").join(two, ["token", "band", "d"])
+    asked = F.least("p.l", "q.l")
+    met = met.where(
+        ((F.col("p.n") < F.col("q.n")) | ((F.col("p.n") == F.col("q.n")) & (F.col("p.rid") < F.col("q.rid"))))
+        & (F.col("p.reach") - 9 * (F.col("p.l") - asked) >= 4 * F.col("q.n"))
+        & (F.col("q.reach") - 9 * (F.col("q.l") - asked) >= 4 * F.col("p.n"))
+        & _possible("p.n", "p.own", "q.n", "q.own")
+    )
+    return met.select(F.col("p.rid").alias("a"), F.col("q.rid").alias("b"), asked.alias("asked"))
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, class_id (smallest doc_id
     with the same shingles), component_id (smallest doc_id reachable by links).
@@ -224,13 +274,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     df = exchange.reply(sent, _frequencies, shards)
     found = written(exchange.finish(blocked, {"classes": classes, "df": df}, _postings, OUT), "jaccard")
     rows = found.where(F.col("kind") == _DOC).select("doc_id", "rid", F.col("other").alias("rep"), F.col("n").alias("n_shingles"))
-    posts = found.where(F.col("kind") == _POST).select(F.col("other").alias("token"), "rid", "n", "l", "own")
+    posts = found.where(F.col("kind") == _POST).select(F.col("other").alias("token"), "rid", "n", "l", "own", "pos")
     sets = found.where(F.col("kind") == _SET).select("rid", "data")
 
     # star round: everyone against the document of each posted shingle that has
     # the fewest shingles of its own, the likeliest centre of a group of copies
     heads = posts.groupBy("token").agg(F.min(F.struct("own", "rid", "n")).alias("h"), F.count("*").alias("f")).where("f > 1")
-    star = posts.join(heads, "token").where(F.col("rid") != F.col("h.rid")).select(
+    star = hot_key_join(posts, heads, "token", "token", columns=["h"], spread_by=["rid"])
+    star = star.where(F.col("rid") != F.col("h.rid")).select(
         F.col("h.rid").alias("a"), F.col("rid").alias("b"), F.col("h.n").alias("m"), F.col("h.own").alias("own_m"), "n", "own"
     )
     star = star.where(_possible("m", "own_m", "n", "own")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -238,33 +289,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = written(_verify(star, sets), "links")
     label = written(components(links), "labels")
 
-    # multi-match round: only between components. Two documents that each have
-    # over a ninth of their shingles to themselves cannot be linked, so one
-    # side of every pair is a core document, which has fewer.
+    # multi-match round: only between components
     named = posts.join(label.withColumnRenamed("node", "rid"), "rid", "left")
-    named = named.withColumn("component", F.coalesce("component", "rid")).withColumn("core", F.col("own") * 9 <= F.col("n"))
-    mixed = named.groupBy("token").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.max("core").alias("z")
-    ).where("x <> y and z")
-    named = written(named.join(mixed.select("token"), "token", "left_semi"), "mixed")
-    cores = named.where("core").select("token", F.col("component").alias("c")).distinct()
-    across = cores.join(named.select("token", F.col("component").alias("d")).distinct(), "token").where("c <> d")
-    one = named.where("core").select(
-        "token", F.col("component").alias("c"), F.col("rid").alias("a"), F.col("n").alias("m"), F.col("own").alias("own_m"), F.col("l").alias("k")
-    )
-    two = named.select("token", F.col("component").alias("d"), F.col("rid").alias("b"), "n", "own", "l", F.col("core").alias("both"))
-    met = across.join(one, ["token", "c"]).join(two, ["token", "d"])
-    met = met.where(_possible("m", "own_m", "n", "own") & (~F.col("both") | (F.col("a") < F.col("b"))))
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("k", "l")).alias("asked"))
+    met = _met(written(_banded(named.withColumn("component", F.coalesce("component", "rid"))), "banded"))
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked"))
     pairs = pairs.where("shared >= asked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(star, ["a", "b"], "left_anti"), "pairs")
     more = written(_verify(pairs, sets), "links")
     every = links.unionByName(more)
-    rows = rows.join(components(every).withColumnRenamed("node", "rep"), "rep", "left")
+    rows = hot_key_join(rows, components(every), "rep", "node", "left", ["component"], spread_by=["rid"])
     rows = written(rows.withColumn("component", F.coalesce("component", "rep")), "rows")
     least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     first = rows.groupBy("rep").agg(F.min("doc_id").alias("class_id"))
-    return rows.join(least, "component").join(first, "rep").select(
+    rows = hot_key_join(rows, least, "component", "component", columns=["component_id"], spread_by=["rid"])
+    return hot_key_join(rows, first, "rep", "rep", columns=["class_id"], spread_by=["rid"]).select(
         "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "class_id", "component_id"
     )
 
