@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import begin, id_and_text, written
-from marquee.llm.textnp import U64, buffer, mix
+from marquee.llm.textnp import U64, buffer, mix, runs
 
-_SLICE = 1 << 20
 _NO_ID = -(1 << 63)
 
 
@@ -55,15 +54,6 @@ def buckets_of(data: np.ndarray, gram: int, buckets: int) -> np.ndarray:
     return (mix(h) & U64(buckets - 1)).astype(np.int64)
 
 
-def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about _SLICE bytes."""
-    a, n = 0, len(offsets) - 1
-    while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _SLICE, side="right")) - 1)
-        yield a, b
-        a = b
-
-
 def _own(offsets: np.ndarray, a: int, b: int, gram: int) -> np.ndarray:
     """Which places of the run's n-grams lie within one text."""
     inside = np.ones(max(0, int(offsets[b] - offsets[a]) - gram + 1), dtype=bool)
@@ -79,7 +69,7 @@ def _count(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Record
     for batch in batches:
         data, offsets = buffer(batch.column(0))
         fit = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
-        for a, b in _slices(offsets):
+        for a, b in runs(offsets):
             found = buckets_of(data[offsets[a] : offsets[b]], s.gram, s.buckets)
             inside = _own(offsets, a, b, s.gram)
             raw += np.bincount(found[inside], minlength=s.buckets)
@@ -104,7 +94,7 @@ class Model:
         s = self.settings
         data, offsets = buffer(texts)
         score, plain = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
-        for a, b in _slices(offsets):
+        for a, b in runs(offsets):
             found = buckets_of(data[offsets[a] : offsets[b]], s.gram, s.buckets)
             value = self.ratios[found].astype(np.float64)
             value[~_own(offsets, a, b, s.gram)] = 0.0

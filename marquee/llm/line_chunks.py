@@ -19,7 +19,7 @@ sent grows with the lines, however often a line repeats.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm import blobs, exchange
 from marquee.llm.common import partitions
-from marquee.llm.textnp import SPACES, U64, buffer, mix, span_hashes
+from marquee.llm.textnp import SPACES, U64, buffer, mix, runs, span_hashes
 
 SPAN = 2  # line hashes in the rolling hash, and the fewest lines of a chunk
 SEEDS = 16  # boundary functions
@@ -61,12 +61,10 @@ def boundaries(hashes: np.ndarray, row: np.ndarray, seeds: int) -> tuple[np.ndar
     return pairs[:, 0], pairs[:, 1]
 
 
-class Chunks:
-    """The chunks of a block's texts, in row order."""
+class Run:
+    """Lines and chunks of neighbouring texts: ``data`` with the texts' offsets."""
 
-    def __init__(self, texts: pa.ChunkedArray, seeds: int = SEEDS):
-        data, offsets = buffer(texts)
-        self.data = data
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, seeds: int):
         breaks = np.flatnonzero(data == 10)
         # a line begins at each text's start and after each line end
         rows = np.searchsorted(offsets, breaks, side="right") - 1
@@ -79,16 +77,14 @@ class Chunks:
         end_row = np.concatenate([rows, np.arange(len(offsets) - 1)])
         self.line_ends = ends[np.lexsort((ends, end_row))]
         inked = np.concatenate([[0], np.cumsum(~SPACES[data])])
-        self.inked = inked[self.line_ends] > inked[self.line_starts]
-        lines = np.flatnonzero(self.inked)  # only these open and close chunks
+        lines = np.flatnonzero(inked[self.line_ends] > inked[self.line_starts])  # only these open and close chunks
         first, last = boundaries(span_hashes(data, self.line_starts[lines], self.line_ends[lines]), self.line_row[lines], seeds)
         self.first_line, self.last_line = lines[first], lines[last]
-        self.row = self.line_row[self.first_line]
-        self.hashes = self._hashes()
+        self.hashes = self._hashes(data)
 
-    def _hashes(self) -> np.ndarray:
+    def _hashes(self, data: np.ndarray) -> np.ndarray:
         """Of the bytes of each chunk, taken line by line (with the white lines between)."""
-        h = span_hashes(self.data, self.line_starts, self.line_ends)
+        h = span_hashes(data, self.line_starts, self.line_ends)
         out = np.zeros(len(self.first_line), dtype=np.uint64)
         at, left = self.first_line.copy(), np.arange(len(self.first_line))
         while len(left):
@@ -97,6 +93,25 @@ class Chunks:
             left = left[at[left] <= self.last_line[left]]
         return out
 
+
+class Chunks:
+    """The chunks of a block's texts, in row order."""
+
+    def __init__(self, texts: pa.ChunkedArray, seeds: int = SEEDS):
+        self.data, offsets = buffer(texts)
+        bounds = list(runs(offsets)) or [(0, 0)]
+        parts = [Run(self.data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], seeds) for a, b in bounds]
+        lines = np.cumsum([0] + [len(p.line_row) for p in parts])
+
+        def every(name: str, shifts: Iterable[int]) -> np.ndarray:
+            return np.concatenate([getattr(p, name) + s for p, s in zip(parts, shifts, strict=False)])
+
+        self.line_starts, self.line_ends = (every(n, (offsets[a] for a, _ in bounds)) for n in ("line_starts", "line_ends"))
+        self.line_row = every("line_row", (a for a, _ in bounds))
+        self.first_line, self.last_line = (every(n, lines) for n in ("first_line", "last_line"))
+        self.row = self.line_row[self.first_line]
+        self.hashes = np.concatenate([p.hashes for p in parts])
+
     def text(self, chunk: int) -> bytes:
         return self.data[self.line_starts[self.first_line[chunk]] : self.line_ends[self.last_line[chunk]]].tobytes()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -153,3 +154,29 @@ def test_query_finds_short_runs_in_any_context(spark, tmp_path):
     spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.n_removed for r in queries.op4_line_chunks(spark, str(tmp_path)).collect()}
     assert got == {k: 2 if k else 0 for k in range(40)}
+
+
+def lines_of(n: int, seed: int) -> str:
+    rng = random.Random(seed)
+    return "\n".join(" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=12)) for _ in range(n))
+
+
+def test_runs_of_texts_do_not_matter(monkeypatch):
+    texts = pa.chunked_array([["", lines_of(30, 1), " \n\n \t", "one line", lines_of(3, 2) + "\n", lines_of(30, 1), "ä\n\nö\nü"]])
+    names = ["line_starts", "line_ends", "line_row", "first_line", "last_line", "row", "hashes"]
+    whole = lc.Chunks(texts)
+    monkeypatch.setattr(lc, "runs", lambda offsets: ((k, k + 1) for k in range(len(offsets) - 1)))
+    single = lc.Chunks(texts)
+    for name in names:
+        assert getattr(whole, name).tolist() == getattr(single, name).tolist(), name
+    assert len(lc.Chunks(pa.chunked_array([], pa.string())).hashes) == 0
+
+
+def test_chunks_need_little_more_than_the_texts():
+    texts = pa.chunked_array([[lines_of(120, k) for k in range(800)]])
+    lc.Chunks(texts.slice(0, 1))  # its tables stay
+    tracemalloc.start()
+    chunks = lc.Chunks(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(chunks.data) > 6_000_000 and peak < 10 * len(chunks.data)  # 18 times the texts before
