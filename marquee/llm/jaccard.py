@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from marquee.llm import blobs, exchange
 from marquee.llm.common import partitions, written
 from marquee.llm.components import components
-from marquee.llm.textnp import U64, Words, gram_hashes, mix
+from marquee.llm.textnp import U64, Words, buffer, gram_hashes, joined, mix, runs
 from marquee.operators.skew import heavy_keys, hot_key_join
 
 SHINGLE = 5
@@ -66,12 +66,14 @@ def linked(shared: int, n: int, m: int) -> bool:
 
 def shingle_sets(texts: pa.ChunkedArray, size: int = SHINGLE) -> list[np.ndarray]:
     """The ascending distinct shingle hashes of each text."""
-    words = Words(texts, lower=True)
-    h, sets = words.hashes(), []
-    grams = gram_hashes(h, size)
-    for a, b in zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True):
-        n = b - a
-        sets.append(np.unique(grams[a : b - size + 1]) if n >= size else gram_hashes(h[a:b], n) if n else h[:0])
+    column, sets = joined(texts), []
+    for first, end in runs(buffer(column)[1]):
+        words = Words(column.slice(first, end - first), lower=True)
+        h = words.hashes()
+        grams = gram_hashes(h, size)
+        for a, b in zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True):
+            n = b - a
+            sets.append(np.unique(grams[a : b - size + 1]) if n >= size else gram_hashes(h[a:b], n) if n else np.zeros(0, np.uint64))
     return sets
 
 
@@ -139,13 +141,37 @@ def choose_prefix(df: np.ndarray, n: int) -> tuple[int, int]:
     return ell, base + ell
 
 
+def _tokens(block: _Block, own: np.ndarray) -> np.ndarray:
+    """The tokens of these rows' sets, one after the other."""
+    every = np.concatenate([block.sets[r] for r in own])
+    every >>= U64(64 - TOKEN_BITS)
+    return every
+
+
+def _firsts(ranked: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+
+
+def _spread(block: _Block, own: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Aligned with ``_tokens``: each token's value, from those of the ascending distinct ones."""
+    tokens = _tokens(block, own)
+    order = np.argsort(tokens)
+    first = _firsts(tokens[order])
+    out = np.empty(len(tokens), values.dtype)
+    out[order] = np.repeat(values, np.diff(first, append=len(tokens)))
+    return out
+
+
 def _frequency_keys(table: pa.Table, replies: dict[str, pa.Table], shards: int) -> pa.Table:
     block = _Block(table)
     own = np.flatnonzero((block.classes(replies["classes"]) == block.rids) & [len(s) > 0 for s in block.sets])
     if not len(own):
         return exchange.routed(iter(()))
-    keys, n = np.unique(np.concatenate([block.sets[r] for r in own]) >> U64(64 - TOKEN_BITS), return_counts=True)
-    return exchange.send(block.number, keys << U64(64 - TOKEN_BITS), [n.astype("<u4")], shards, TOKEN_BITS)
+    tokens = _tokens(block, own)
+    tokens.sort()
+    first = _firsts(tokens)
+    n = np.diff(first, append=len(tokens)).astype("<u4")
+    return exchange.send(block.number, tokens[first] << U64(64 - TOKEN_BITS), [n], shards, TOKEN_BITS)
 
 
 def _postings(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
@@ -156,10 +182,7 @@ def _postings(table: pa.Table, replies: dict[str, pa.Table]) -> pa.Table:
     rows = [(_DOC, i, r, c, len(s), 0, 0, 0, None) for i, r, c, s in zip(ids, block.rids.tolist(), rep.tolist(), block.sets, strict=True)]
     own = np.flatnonzero((rep == block.rids) & [len(s) > 0 for s in block.sets])
     if len(own):
-        cat = np.concatenate([block.sets[r] for r in own]) >> U64(64 - TOKEN_BITS)
-        _, back = np.unique(cat, return_inverse=True)
-        df = exchange.answers(replies["df"])[0][back]
-        at = 0
+        df, at = _spread(block, own, exchange.answers(replies["df"])[0]), 0
         for r in own.tolist():
             s = block.sets[r]
             own_df, at = df[at : at + len(s)], at + len(s)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -107,3 +109,19 @@ def test_edges(spark):
     left = jaccard.one_per_component(docs)
     assert left.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 0, 7, 7, 8, 9]
+
+
+def test_sets_need_little_more_than_the_texts(monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(5000)]
+    texts = pa.chunked_array([["", "a", " ", *(" ".join(rng.choices(words, k=1200)) for _ in range(1500))]])
+    size = sum(len(t.as_py()) for t in texts)
+    jaccard.shingle_sets(texts.slice(0, 4))  # its tables stay
+    tracemalloc.start()
+    sets = jaccard.shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size > 12_000_000 and peak < 5 * size
+    assert [len(s) for s in sets[:3]] == [0, 1, 0]
+    monkeypatch.setattr(jaccard, "runs", lambda offsets: ((k, k + 1) for k in range(len(offsets) - 1)))
+    assert [s.tolist() for s in sets] == [s.tolist() for s in jaccard.shingle_sets(texts)]
