@@ -80,18 +80,6 @@ class Run:
         lines = np.flatnonzero(inked[self.line_ends] > inked[self.line_starts])  # only these open and close chunks
         first, last = boundaries(span_hashes(data, self.line_starts[lines], self.line_ends[lines]), self.line_row[lines], seeds)
         self.first_line, self.last_line = lines[first], lines[last]
-        self.hashes = self._hashes(data)
-
-    def _hashes(self, data: np.ndarray) -> np.ndarray:
-        """Of the bytes of each chunk, taken line by line (with the white lines between)."""
-        h = span_hashes(data, self.line_starts, self.line_ends)
-        out = np.zeros(len(self.first_line), dtype=np.uint64)
-        at, left = self.first_line.copy(), np.arange(len(self.first_line))
-        while len(left):
-            out[left] = mix(out[left] * U64(_FACTOR) + h[at[left]])
-            at[left] += 1
-            left = left[at[left] <= self.last_line[left]]
-        return out
 
 
 class Chunks:
@@ -110,7 +98,18 @@ class Chunks:
         self.line_row = every("line_row", (a for a, _ in bounds))
         self.first_line, self.last_line = (every(n, lines) for n in ("first_line", "last_line"))
         self.row = self.line_row[self.first_line]
-        self.hashes = np.concatenate([p.hashes for p in parts])
+        self.hashes = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        """Of the bytes of each chunk, taken line by line (with the white lines between)."""
+        h = span_hashes(self.data, self.line_starts, self.line_ends)
+        out = np.zeros(len(self.first_line), dtype=np.uint64)
+        at, left = self.first_line.copy(), np.arange(len(self.first_line))
+        while len(left):
+            out[left] = mix(out[left] * U64(_FACTOR) + h[at[left]])
+            at[left] += 1
+            left = left[at[left] <= self.last_line[left]]
+        return out
 
     def text(self, chunk: int) -> bytes:
         return self.data[self.line_starts[self.first_line[chunk]] : self.line_ends[self.last_line[chunk]]].tobytes()
